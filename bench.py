@@ -54,7 +54,9 @@ def main() -> None:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     for key, value in settings(cores=cpus).items():
         builder = builder.config(key, value)
-    spark = builder.config("spark.driver.memory", "16g").config("spark.ui.enabled", "false").getOrCreate()
+    spark = builder.config("spark.driver.memory", "16g").config("spark.ui.enabled", "false").config(
+        "spark.ui.showConsoleProgress", "false"
+    ).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
     run("explode_recommendations", spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -23,4 +23,4 @@ def ordered_values(value: str, order_by: Sequence[str], present: Column | None =
     entry = F.struct(*[F.col(c) for c in order_by], F.col(value).alias("_value"))
     counts = F.col(value).isNotNull() if present is None else present
     gathered = F.collect_list(F.when(counts, entry))
-    return F.transform(F.array_sort(gathered), lambda e: e["_value"])
+    return F.transform(F.sort_array(gathered), lambda e: e["_value"])

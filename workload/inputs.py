@@ -39,9 +39,13 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One of the given tables; its footer is read once."""
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.tables[name]
 
     # Catalogue
 
@@ -79,7 +83,7 @@ class Inputs:
     def track_groups(self) -> DataFrame:
         """Nations in which a track is available: two thirds of them."""
         nation = F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
-        nations = self.table("nation").agg(F.array_sort(F.collect_list(nation))).scalar()
+        nations = self.table("nation").agg(F.sort_array(F.collect_list(nation))).scalar()
         open_to = F.filter(F.col("nations"), lambda n: (F.col("p_partkey") + n["key"]) % 3 != 0)
         return (
             self.table("part")
@@ -144,24 +148,23 @@ class Inputs:
     def recommendations(self) -> DataFrame:
         """200 parts per user, the same 200 for the users of one bucket, in an order of the user's own.
 
-        Parts are gathered per bucket, 200 each, and ordered inside the user's row. Users are dealt
-        to all cores first, because the table may be one file.
+        Users are dealt to all cores first, because the table may be one file; their lists are then
+        gathered where they are.
         """
         buckets = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / LIST_SIZE))
         n_buckets = self.table("part").agg(buckets).scalar()
-        lists = (
-            self.table("part")
-            .groupBy(whole("p_partkey", LIST_SIZE).alias("bucket"))
-            .agg(F.collect_list(text("p_partkey")).alias("parts"))
-        )
+        parts = self.table("part").select("p_partkey", whole("p_partkey", LIST_SIZE).alias("bucket"))
         spread = self.spark.sparkContext.defaultParallelism
         customer = self.table("customer").select(F.col("c_custkey").alias("user")).repartition(spread, "user")
-        dealt = customer.withColumn("bucket", F.col("user") % n_buckets)
-        keyed = F.transform(
-            "parts", lambda p: F.struct(F.md5(F.concat(text("user"), F.lit(":"), p)).alias("order"), p.alias("part"))
+        pairs = customer.withColumn("bucket", F.col("user") % n_buckets).join(parts, "bucket")
+        keyed = pairs.select(
+            "user",
+            ((F.col("p_partkey") + 1) * (F.col("user") + 17) % 100003).alias("order"),
+            "p_partkey",
+            text("p_partkey").alias("trackGroup"),
         )
-        ranked = F.transform(F.array_sort(keyed), lambda e: e["part"])
-        return dealt.join(lists, "bucket").select("user", ranked.alias("recommendations"))
+        lists = ordered_values("trackGroup", ["order", "p_partkey"])
+        return keyed.groupBy("user").agg(lists.alias("recommendations"))
 
     @cached_property
     def lines(self) -> DataFrame:

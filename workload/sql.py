@@ -40,7 +40,8 @@ STEPS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "recs": """
         SELECT c_custkey AS userId, CAST(p_partkey AS VARCHAR) AS trackGroup,
-               CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY md5(c_custkey || ':' || p_partkey)) - 1
+               CAST(row_number() OVER (PARTITION BY c_custkey
+                                       ORDER BY (p_partkey + 1) * (c_custkey + 17) % 100003, p_partkey) - 1
                     AS INTEGER) AS pos
         FROM customer JOIN part
           ON p_partkey // 200 = c_custkey % (SELECT greatest(1, count(*) // 200) FROM part)""",
