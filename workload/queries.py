@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,9 @@ from mixloom.operators import assemble, enrich, exclude, rank, scoring, shape
 from mixloom.plans import daily_mix, discovery_mix, mix_quality_report, observed_tracks, score_sequences
 from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs
 
+# Python workers get the scoring helpers with the query, wherever the session was started.
+cloudpickle.register_pickle_by_value(scoring)
+
 # A mix of 14, which most users' known artists do not fit into.
 MIX_SIZE = 14
 HEARD = dict(as_of=AS_OF, min_plays=2, months=12, date_col="dt")
@@ -184,20 +188,19 @@ def scored(i: Inputs) -> DataFrame:
     return positions(score_sequences(i.sequences, i.vocabulary, n_recs=10), "user", "recommendations")
 
 
-def most_frequent_items() -> scoring.Scorer:
-    """A scorer that recommends what a sequence holds most often; lower indexes first among equals."""
-
-    def score(sequences: np.ndarray, n_recs: int) -> list:
-        ranked = []
-        for row in sequences:
-            items, times = np.unique(row[row > 0], return_counts=True)
-            ranked.append(items[np.argsort(-times, kind="stable")][:n_recs])
-        return ranked
+def scored_by_model(i: Inputs) -> DataFrame:
+    def most_frequent_items() -> scoring.Scorer:
+        """Recommends what a sequence holds most often; lower indexes first among equals."""
 
-    return score
+        def score(sequences: np.ndarray, n_recs: int) -> list:
+            ranked = []
+            for row in sequences:
+                items, times = np.unique(row[row > 0], return_counts=True)
+                ranked.append(items[np.argsort(-times, kind="stable")][:n_recs])
+            return ranked
 
+        return score
 
-def scored_by_model(i: Inputs) -> DataFrame:
     partitions = i.spark.sparkContext.defaultParallelism
     lists = score_sequences(
         i.sequences, i.vocabulary, most_frequent_items, n_recs=10, max_seq_len=50, n_partitions=partitions
