@@ -10,7 +10,9 @@ def settings(cores: int, shuffle_bytes: int = 0) -> dict[str, str]:
 
     Shuffles start with enough partitions for the largest one; AQE merges them where there is less.
     Joins on content keys rely on AQE's skew join, see ``mixloom.operators.joins``. A side is
-    broadcast below the limit only.
+    broadcast below the limit only. A job has more generated classes than Spark keeps by default,
+    so that executors would compile them again and again. The last one is for the session's builder
+    only: Spark reads it once.
     """
     partitions = max(cores, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
     return {
@@ -23,4 +25,5 @@ def settings(cores: int, shuffle_bytes: int = 0) -> dict[str, str]:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
         "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.codegen.cache.maxEntries": "2000",
     }
