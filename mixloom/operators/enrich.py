@@ -43,7 +43,7 @@ def available_in_country(track_groups: DataFrame) -> Operator:
 
     def apply(df: DataFrame) -> DataFrame:
         countries = track_groups.select("trackGroup", F.col("AvailableCountryCodes").alias("_countries"))
-        joined = df.join(countries, "trackGroup")
+        joined = lookup(df, countries, "trackGroup")
         return joined.where(F.array_contains("_countries", F.col("countryCode"))).drop("_countries")
 
     return apply
@@ -86,7 +86,7 @@ def flag_known_artists(known: DataFrame) -> Operator:
 def with_artist_cluster(clusters: DataFrame, artist_col: str = "artistId", cluster_col: str = "cluster") -> Operator:
     """Add the artist's cluster, null when it has none."""
     side = clusters.select(F.col("artistId").alias(artist_col), cluster_col)
-    return lambda df: df.join(side, artist_col, "left")
+    return lambda df: lookup(df, side, artist_col, "left")
 
 
 def with_similar_artists(similar: DataFrame, max_similars: int) -> Operator:
@@ -98,7 +98,7 @@ def with_similar_artists(similar: DataFrame, max_similars: int) -> Operator:
     def apply(df: DataFrame) -> DataFrame:
         kept = [c for c in df.columns if c.lower() != "artistid"]
         lists = similar.select("artistId", F.slice("neighbours", 1, max_similars).alias("_near"))
-        return df.join(lists, "artistId").select(
+        return lookup(df, lists, "artistId").select(
             *kept, F.posexplode("_near").alias("enriched_position", "artistId"), F.lit(1).alias("enriched")
         )
 
@@ -110,7 +110,7 @@ def with_artist_metadata(
 ) -> Operator:
     """Add artist columns (``image`` is the table's ``picture``); rows of unknown artists drop."""
     index = artists.withColumnsRenamed({"id": artist_col, "picture": "image"}).select(artist_col, *columns)
-    return lambda df: df.join(index, artist_col)
+    return lambda df: lookup(df, index, artist_col)
 
 
 def with_user_columns(users: DataFrame, user_col: str, columns: Sequence[str] | Mapping[str, str]) -> Operator:

@@ -22,9 +22,9 @@ def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", sa
     of its own even when ``side`` is already grouped by ``key``, and AQE's skew join, which cuts a
     large group further, needs exactly that.
     """
-    if salts <= 1:
+    rest = [c for c in dataset.columns if c.lower() != key.lower()]
+    if salts <= 1 or not rest:
         return dataset.join(side, key, how)
-    rest = [c for c in dataset.columns if c != key]
     dealt = dataset.withColumn(_SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
     repeated = side.withColumn(_SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return dealt.join(repeated, [key, _SALT], how).drop(_SALT)

@@ -84,7 +84,8 @@ def diversity_rank(
 
     The n-th row of a group moves ``n * gap`` places down, by the group in which it comes later; it
     starts from the better of its two groups' places. Of equal rows the one with the larger
-    ``order_by`` comes first. The rows are shuffled by the id once, and all windows use that.
+    ``order_by`` comes first. The rows are shuffled by the id once, and all windows use that; cut
+    long lists before, as the quota split does.
     """
     ids = list(id_cols)
 

@@ -1,13 +1,25 @@
 """Daily job: the tracks of the mixes that were opened."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from mixloom.operators.shape import explode_tracks
 
+# Repeats of one mix that are written out together.
+PORTION = 1000
+
 
 def observed_tracks(mixes: DataFrame, observed: DataFrame) -> DataFrame:
     """``user, trackGroup`` of the stored mixes whose ``mixId`` was observed.
 
-    A mix observed twice gives its tracks twice. A much observed mix is cut by AQE's skew join.
+    A mix observed n times gives its tracks n times. Observations are counted before the join, which
+    so has one row per mix on either side, and the repeats of a mix are dealt in portions to many
+    tasks, for the case that one mix has most of the observations.
     """
-    return mixes.select("mixId", "user", "tracks").join(observed.select("mixId"), "mixId").transform(explode_tracks)
+    counts = observed.groupBy("mixId").agg(F.count(F.lit(1)).alias("times"))
+    opened = mixes.select("mixId", "user", "tracks").join(counts, "mixId")
+    starts = F.sequence(F.lit(0), F.col("times") - 1, F.lit(PORTION))
+    portions = opened.select("*", F.explode(starts).alias("start")).repartition("mixId", "start")
+    last = F.least(F.col("start") + PORTION, F.col("times"))
+    repeats = portions.select("user", "tracks", F.explode(F.sequence(F.col("start") + 1, last)))
+    return repeats.transform(explode_tracks)
