@@ -18,11 +18,11 @@ def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", sa
 
     Content keys are skewed: one track or artist may hold a third of the dataset. Rows of a key are
     dealt to ``salts`` groups by the rest of the row (by a hash, so that a repeated task deals them
-    alike), and ``side`` is repeated once per group. The salted key also gives each side a shuffle
+    alike; maps cannot be hashed), and ``side`` is repeated once per group. The salted key also gives each side a shuffle
     of its own even when ``side`` is already grouped by ``key``, and AQE's skew join, which cuts a
     large group further, needs exactly that.
     """
-    rest = [c for c in dataset.columns if c.lower() != key.lower()]
+    rest = [c for c, kind in dataset.dtypes if c.lower() != key.lower() and "map<" not in kind]
     if salts <= 1 or not rest:
         return dataset.join(side, key, how)
     dealt = dataset.withColumn(_SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
