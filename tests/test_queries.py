@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from test_scale import plan_of
 
 SF = "/root/testdata/sf0.001"
 # Tables of the test data.
@@ -30,7 +31,10 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
-    found = Counter(tuple(r) for r in df.select(*columns).collect())
+    ordered = df.select(*columns)
+    found = Counter(tuple(r) for r in ordered.collect())
+    plan = plan_of(ordered)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns

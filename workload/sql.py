@@ -154,7 +154,8 @@ def ranking(prefix: str, source: str, size: int, known_cap: int) -> dict[str, st
                                 ELSE CASE WHEN k < {known_cap} THEN {size} - k ELSE {unknown_cap} END END""",
         f"{prefix}_groups": f"""
             SELECT s.*, c.cluster,
-                   min(pos) OVER (PARTITION BY userId, cluster) AS f1, min(pos) OVER (PARTITION BY userId, s.artistId) AS f2,
+                   min(pos) OVER (PARTITION BY userId, cluster) AS f1,
+                   min(pos) OVER (PARTITION BY userId, s.artistId) AS f2,
                    row_number() OVER (PARTITION BY userId, cluster ORDER BY pos, trackGroup) - 1 AS i1,
                    row_number() OVER (PARTITION BY userId, s.artistId ORDER BY pos, trackGroup) - 1 AS i2
             FROM {prefix}_split s LEFT JOIN clusters c ON c.artistId = s.artistId""",
