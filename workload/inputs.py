@@ -160,10 +160,9 @@ class Inputs:
         keyed = pairs.select(
             "user",
             ((F.col("p_partkey") + 1) * (F.col("user") + 17) % 100003).alias("order"),
-            "p_partkey",
             text("p_partkey").alias("trackGroup"),
         )
-        lists = ordered_values("trackGroup", ["order", "p_partkey"])
+        lists = ordered_values("trackGroup", ["order", "trackGroup"])
         return keyed.groupBy("user").agg(lists.alias("recommendations"))
 
     @cached_property

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mixloom.functions import at_date, clean_title, mix_id, pick_artists, pick_artists_with_cover, stable_mix_id
 from mixloom.functions import updated_millis
 from mixloom.operators import assemble, enrich, exclude, rank, scoring, shape
+from mixloom.operators.joins import lookup
 from mixloom.plans import daily_mix, discovery_mix, mix_quality_report, observed_tracks, score_sequences
 from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs
 
@@ -36,8 +37,11 @@ def with_artists(i: Inputs) -> DataFrame:
 
 
 def with_titles(i: Inputs) -> DataFrame:
-    described = candidates(i).transform(enrich.with_track_metadata(i.tracks))
-    return described.withColumn("cleanedTitle", clean_title("title")).drop("title")
+    """Candidates with artist and cleaned title; titles are cleaned once per track."""
+    titles = enrich.track_group_metadata(i.tracks).select(
+        "trackGroup", "artistId", clean_title("title").alias("cleanedTitle")
+    )
+    return lookup(candidates(i), titles, "trackGroup")
 
 
 def known(i: Inputs) -> DataFrame:

@@ -41,7 +41,8 @@ STEPS = {
     "recs": """
         SELECT c_custkey AS userId, CAST(p_partkey AS VARCHAR) AS trackGroup,
                CAST(row_number() OVER (PARTITION BY c_custkey
-                                       ORDER BY (p_partkey + 1) * (c_custkey + 17) % 100003, p_partkey) - 1
+                                       ORDER BY (p_partkey + 1) * (c_custkey + 17) % 100003,
+                                                CAST(p_partkey AS VARCHAR)) - 1
                     AS INTEGER) AS pos
         FROM customer JOIN part
           ON p_partkey // 200 = c_custkey % (SELECT greatest(1, count(*) // 200) FROM part)""",
@@ -184,7 +185,8 @@ STEPS |= ranking("mix", "unheard", 35, 7)
 
 def mixes_of(prefix: str, min_size: int) -> str:
     return f"""
-        SELECT CAST(userId AS INTEGER) AS user, string_agg(trackGroup, ',' ORDER BY rank, innerRank, trackGroup) AS tracks,
+        SELECT CAST(userId AS INTEGER) AS user,
+               string_agg(trackGroup, ',' ORDER BY rank, innerRank, trackGroup) AS tracks,
                substr(md5('discovery_mix_' || userId), 1, 27) AS mixId, '2001-08-01' AS atDate
         FROM {prefix}_spread GROUP BY userId HAVING count(*) >= {min_size}"""
 
@@ -246,7 +248,8 @@ QUERIES = {
     "known_artists": "SELECT userId, artistId FROM known",
     "flag_known_artists": "SELECT userId, artistId, trackGroup, knownArtist, pos FROM flagged",
     "enrich_artist_cluster": """
-        SELECT userId, trackGroup, c.artistId, pos, cluster FROM cand c LEFT JOIN clusters k ON k.artistId = c.artistId""",
+        SELECT userId, trackGroup, c.artistId, pos, cluster
+        FROM cand c LEFT JOIN clusters k ON k.artistId = c.artistId""",
     "enrich_similar_artists": """
         SELECT userId, neighbour AS artistId, place AS enriched_position, 1 AS enriched
         FROM known JOIN neighbours USING (artistId) WHERE place < 3""",
@@ -282,7 +285,8 @@ QUERIES = {
     "pick_top_artists": picks("image <> ''", "id, name, image"),
     "pick_top_artists_with_cover": picks("image <> '' AND cover <> ''", "id, name, image, cover"),
     "last_n_items": """
-        SELECT user, CAST(row_number() OVER (PARTITION BY user ORDER BY place) - 1 AS INTEGER) AS position, index AS item
+        SELECT user, CAST(row_number() OVER (PARTITION BY user ORDER BY place) - 1 AS INTEGER) AS position,
+               index AS item
         FROM sequence WHERE back <= 20""",
     "vocabulary_decode": """
         SELECT s.user, CAST(row_number() OVER (PARTITION BY s.user ORDER BY s.place) - 1 AS INTEGER) AS position, v.item
@@ -290,7 +294,8 @@ QUERIES = {
     "score_sequences": """
         SELECT s.user, n.position, v.item
         FROM sequence s JOIN (
-            SELECT index, next, CAST(row_number() OVER (PARTITION BY index ORDER BY times DESC, next) - 1 AS INTEGER) AS position
+            SELECT index, next,
+                   CAST(row_number() OVER (PARTITION BY index ORDER BY times DESC, next) - 1 AS INTEGER) AS position
             FROM (SELECT a.index, b.index AS next, count(*) AS times
                   FROM sequence a JOIN sequence b ON b.user = a.user AND b.place = a.place + 1 GROUP BY ALL)) n
           ON n.index = s.index
@@ -319,7 +324,8 @@ QUERIES = {
             WHEN 'null_tracks' THEN (SELECT count(*) FROM mixes WHERE tracks IS NULL)
             WHEN 'too_short' THEN (SELECT count(*) FROM mixes WHERE len(tracks) < 35)
             WHEN 'too_long' THEN (SELECT count(*) FROM mixes WHERE len(tracks) > 60) END AS BIGINT) AS value
-        FROM (VALUES ('rows'), ('null_owners'), ('repeated_owners'), ('null_tracks'), ('too_short'), ('too_long')) c(name)""",
+        FROM (VALUES ('rows'), ('null_owners'), ('repeated_owners'),
+                     ('null_tracks'), ('too_short'), ('too_long')) c(name)""",
 }
 
 
