@@ -122,7 +122,7 @@ def with_user_columns(users: DataFrame, user_col: str, columns: Sequence[str] |
     else:
         raise ValueError("columns has to be a list, a tuple or a mapping")
     side = users.select(F.col("id").alias(user_col), *[F.col(old).alias(new) for old, new in names.items()])
-    return lambda df: df.join(side, user_col, "left")
+    return lambda df: lookup(df, side, user_col, "left")
 
 
 def main_artists(compounds: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ _SALT = "_salt"
 def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Attach the columns of ``side``, which has one row per ``key``, to a much larger dataset.
 
-    Content keys are skewed: one track or artist may hold a third of the dataset. Rows of a key are
+    Such keys are skewed: one track, artist or user may hold a third of the dataset. Rows of a key are
     dealt to ``salts`` groups by a hash of the rest of the row (a repeated task deals them alike;
     maps cannot be hashed), and ``side`` is repeated once per group. The salted key also gives each
     side a shuffle of its own even when ``side`` is already grouped by ``key``, and AQE's skew join,
