@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,9 +39,8 @@ def text_bytes(column: str = "text") -> Column:
 
 
 def count_words(column: str = "text") -> Column:
-    """Number of words, taken from what is left when all that is no word start is removed."""
-    starts = F.regexp_replace(F.coalesce(F.col(column), F.lit("")), rf"{WORD}", "w")
-    return F.length(F.regexp_replace(starts, SPACE, "")).cast("long")
+    """Number of words."""
+    return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def running_positions(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import chat, shards, urls
+from mixloom.llm import chat, decontaminate, language, mixing, shards, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chats(chat.read_chats(formatted))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), RULES)
 
@@ -41,8 +46,25 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_words(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_source_mixing": op7_source_mixing,
+    "op9_language_id": op9_language_id,
 }
