@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import chat, decontaminate, language, mixing, shards, simhash, urls
+from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, shards, simhash, token_files, urls
+from mixloom.llm.base import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,13 @@ RULES = [
 ]
 
 
+def tokenizer(name: str) -> str:
+    """A public tokenizer's definition."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,6 +55,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -55,16 +68,29 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
 
+def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-ids")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
+    return token_files.read_documents(spark, path)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.attribute(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), ["text"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
     "op4_sharding": op4_sharding,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_source_mixing": op7_source_mixing,
+    "op8_token_id_files": op8_token_id_files,
     "op9_language_id": op9_language_id,
+    "op10_token_counts": op10_token_counts,
 }

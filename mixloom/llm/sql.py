@@ -85,8 +85,8 @@ FROM ruled p LEFT JOIN hosts h ON p.host = h.host"""
 
 NEAREST = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), pairs AS (
     SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
     FROM whole q JOIN whole d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
@@ -98,4 +98,5 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 QUERIES = {
     "op1_chat_formatting": CHATS,
     "op3_url_filters": url_filter(),
+    "op5_exact_top_k": NEAREST,
 }
