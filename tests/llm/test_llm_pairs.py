@@ -1,0 +1,192 @@
+"""SimHash near-duplicates, decontamination, exact search."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from mixloom.llm import components, decontaminate, nearest, simhash
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(values, limit=4):
+    """Root of each value."""
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a in root:
+        for b in root:
+            if a < b and (a ^ b).bit_count() <= limit:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {v: find(v) for v in root}
+
+
+def brute_near(rows):
+    fps = {n: brute_fingerprint(t) for n, (_, t) in enumerate(rows)}
+    root = brute_components(set(fps.values()))
+    least = {}
+    for n, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root[fps[n]]] = min(least.get(root[fps[n]], doc_id), doc_id)
+    return sorted(((i, f"{fps[n]:016x}", least.get(root[fps[n]])) for n, (i, _) in enumerate(rows)), key=str)
+
+
+def corpus():
+    rng = random.Random(3)
+    words = [f"w{n}" for n in range(50)]
+    base = [[rng.choice(words) for _ in range(rng.randrange(1, 60))] for _ in range(25)]
+    rows = []
+    for n in range(160):
+        text = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((n + 10, rng.choice([" ", "\n", "\t "]).join(text)))
+    return rows + [(3, None), (4, ""), (5, " \n"), (None, "one two"), (7, "One two"), (7, "One two"), (8, "é É x y z")]
+
+
+def test_near_duplicates_equal_brute_force(frame):
+    rows = corpus()
+    df = frame("doc_id long, text string, fp string", *[(*r, "x") for r in rows])
+    found = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute_near(rows)
+    kept = simhash.one_per_group(df)
+    assert kept.columns == df.columns
+    groups = {c for _, _, c in brute_near(rows)}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(groups)
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_long_text():
+    text = " ".join(f"word{n % 977}" for n in range(70_000))
+    assert simhash.fingerprint(text.encode()) % 2**64 == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bucket_links_connect_what_is_connected(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**64, 4, dtype=np.uint64).tolist()
+    flips = lambda: sum(1 << int(b) for b in rng.choice(22, rng.integers(0, 7), replace=False))
+    values = sorted({base[rng.integers(4)] ^ flips() for _ in range(150)})
+    fps = np.array(values, np.uint64)
+    pairs = np.concatenate(simhash.large_links(fps, simhash.references(), 4)).tolist()
+    assert all((a ^ b).bit_count() <= 4 for a, b in pairs) and len(pairs) < len(values)
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert {v: find(v) for v in values} == brute_components(values)
+
+
+def test_components(frame):
+    edges = [(n, n + 1) for n in range(1, 30)] + [(100, 40), (40, 41), (41, 100), (100, 40), (-5, 60)]
+    found = {r.node: r.root for r in components.components(frame("a long, b long", *edges)).collect()}
+    assert found == {n: 1 for n in range(2, 31)} | {41: 40, 100: 40, 60: -5}
+
+
+def test_tiles():
+    item = "a b c d e f g h i j k l".split()
+    assert decontaminate.greedy_tiles(item, "g h i j k l x a b c d e f".split(), 3) == [(0, 7, 6), (6, 0, 6)]
+    assert decontaminate.greedy_tiles(item, item, 3) == [(0, 0, 12)]
+    assert decontaminate.greedy_tiles(item, [], 3) == [] == decontaminate.greedy_tiles([], item, 3)
+    # The longest goes first, though the earlier ones overlap it.
+    assert decontaminate.greedy_tiles(item, "a b c d None d e f g h i".split(), 3)[0] == (3, 5, 6)
+    repeated = "x y z".split() * 4
+    assert sum(n for _, _, n in decontaminate.greedy_tiles(repeated, "x y z".split() * 2, 3)) == 6
+
+
+def brute_tiles(item, text, least):
+    """The definition: mark the longest match of free words, again and again."""
+    free_a, free_b, covered = [True] * len(item), [True] * len(text), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < least:
+            return covered
+        free_a[i : i + n] = free_b[j : j + n] = [False] * n
+        covered += n
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_tiles_equal_the_definition(seed):
+    rng = random.Random(seed)
+    item = [rng.choice("abcdefgh") for _ in range(25)]
+    text = [rng.choice("abcdefghz") for _ in range(20)] + item[12:] + ["q"] + item[:9]
+    tiles = decontaminate.greedy_tiles(item, text, 3)
+    for i, j, n in tiles:
+        assert item[i : i + n] == text[j : j + n] and n >= 3
+    places = [p for i, _, n in tiles for p in range(i, i + n)]
+    assert len(places) == len(set(places)) and abs(len(places) - brute_tiles(item, text, 3)) <= 3
+
+
+def test_decontamination(frame):
+    item = " ".join(f"item{n}" for n in range(30))
+    words = item.split()
+    clean = " ".join(f"other{n}" for n in range(400))
+    texts = {
+        1: f"{clean} {item} {clean}", 2: " ".join([*words[15:], "and", *words[:15]]).upper(), 3: clean, 4: None, 5: "", 6: " ".join(words[:12]),
+        7: f"{clean}. {' '.join(words[:16])}!", 8: item, 9: "x" * 100_000,
+    }
+    docs = frame("doc_id long, text string, item_id long", *[(i, t, 5) for i, t in texts.items()], (8, item, 5), (None, item, 5))
+    benchmark = frame("item_id long, text string, doc_id long", (1, item, 1), (2, None, 1), (3, "too short", 1), (1, item, 9))
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in found), key=str) == sorted([(1, 1), (2, 1), (7, 1), (8, 1), (None, 1)], key=str)
+    assert {r.doc_id: round(r.coverage, 3) for r in found}[7] == round(16 / 30, 3)
+    kept = decontaminate.without_contaminated(docs, benchmark)
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 9] and kept.columns == docs.columns
+    for none in (benchmark.limit(0), benchmark.where("item_id = 2")):
+        assert decontaminate.contaminated(docs, none).count() == 0
+    assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
+
+
+def brute_top(rows, asked, k):
+    good = [(i, [np.floor(256 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q in sorted({i for i, _ in good if asked(i)}):
+        mine = min(v for i, v in good if i == q)
+        scores = sorted((-int(sum(a * b for a, b in zip(mine, v))), i) for i, v in good if i != q)[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    return out
+
+
+@pytest.mark.parametrize("shard_rows, block_rows", [(1000, 1000), (40, 7)])
+def test_search_equals_brute_force(frame, shard_rows, block_rows):
+    rng = np.random.default_rng(5)
+    rows = [(n, rng.normal(size=6).round(1).tolist()) for n in range(300)]
+    rows += [(300, None), (301, [None] * 6), (302, [float("nan")] * 6), (350, [float("inf")] * 6), (400, []), (401, [1.5]), (None, [1.0] * 6)]
+    rows += [(n, [0.5] * 6) for n in range(500, 540)] + [(500, [0.5] * 6)]
+    df = frame("vec_id long, embedding array<float>, score long", *[(*r, 1) for r in rows])
+    found = nearest.top_k(df, F.col("vec_id") % 50 == 0, 5, shard_rows, block_rows).collect()
+    exact = [(i, v and [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    assert sorted(tuple(r) for r in found) == brute_top(exact, lambda i: i % 50 == 0, 5)
+
+
+def test_search_of_little(frame):
+    df = frame("vec_id long, embedding array<double>", (0, [1.0]), (50, [2.0]))
+    found = sorted(tuple(r) for r in nearest.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert found == [(0, 1, 50, 131072), (50, 1, 0, 131072)]
+    assert nearest.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
