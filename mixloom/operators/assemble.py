@@ -22,13 +22,16 @@ def ordered_tracks(owner: str, order_by: Sequence[str]) -> Operator:
 
 
 def assemble_discovery_mix(
-    as_of: AsOf, order_by: Sequence[str] = ("rank", "innerRank"), min_mix_size: int = 66
+    as_of: AsOf, order_by: Sequence[str] = ("rank", "innerRank"), min_mix_size: int = 66, id_type: str = "int"
 ) -> Operator:
-    """``user, tracks, mixId, atDate`` for the users that have at least ``min_mix_size`` tracks."""
+    """``user, tracks, mixId, atDate`` for the users that have at least ``min_mix_size`` tracks.
+
+    Ids beyond ``int`` need ``id_type="bigint"``.
+    """
 
     def apply(df: DataFrame) -> DataFrame:
         lists = df.transform(ordered_tracks("userId", order_by)).where(F.size("tracks") >= min_mix_size)
-        owned = lists.select(F.col("userId").cast("int").alias("user"), "tracks")
+        owned = lists.select(F.col("userId").cast(id_type).alias("user"), "tracks")
         return owned.select(
             "user", "tracks", mix_id(DISCOVERY_PREFIX, "user").alias("mixId"), F.lit(str(as_of)).alias("atDate")
         )
@@ -36,7 +39,7 @@ def assemble_discovery_mix(
     return apply
 
 
-def assemble_artist_mix(as_of: AsOf, order_by: Sequence[str] = ("rank",)) -> Operator:
+def assemble_artist_mix(as_of: AsOf, order_by: Sequence[str] = ("rank",), id_type: str = "int") -> Operator:
     """``artistId, tracks, mixId, atDate``, one row per artist.
 
     The list is as long as the artist's rows: cut them with ``top_n`` first.
@@ -44,7 +47,7 @@ def assemble_artist_mix(as_of: AsOf, order_by: Sequence[str] = ("rank",)) -> Ope
 
     def apply(df: DataFrame) -> DataFrame:
         lists = df.transform(ordered_tracks("artistId", order_by))
-        owned = lists.select(F.col("artistId").cast("int").alias("artistId"), "tracks")
+        owned = lists.select(F.col("artistId").cast(id_type).alias("artistId"), "tracks")
         return owned.select(
             "artistId",
             "tracks",

@@ -1,8 +1,7 @@
 """Join shapes shared by the operators.
 
-Joins carry no hint, with one exception: Spark broadcasts a side only when its own size estimate, or
-under AQE the measured size, is below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is
-a shuffle. The exception, ``broadcast_if_small``, counts the side first.
+Joins carry no hint: Spark broadcasts a side only when its own size estimate, or under AQE the measured
+size, is below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is a shuffle.
 """
 
 from collections.abc import Sequence
@@ -31,15 +30,6 @@ def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", sa
     return dealt.join(repeated, [key, _SALT], how).drop(_SALT)
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int) -> DataFrame:
-    """``side``, to be broadcast when it is counted to have at most ``max_rows`` rows.
-
-    For narrow sides and joins where moving the other side costs far more than the counting does.
-    """
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(side) if small else side
-
-
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The key set of a side table.
 

@@ -22,14 +22,19 @@ def explode_positions(column: str, alias: str | Mapping[str, str] = "col") -> Op
 
     def apply(df: DataFrame) -> DataFrame:
         kept = [c for c in df.columns if c.lower() != column.lower()]
+        named = ["pos", alias] if isinstance(alias, str) else ["pos", *alias.values()]
+        if twice := {c.lower() for c in kept} & {c.lower() for c in named}:
+            raise ValueError(f"the table already has {sorted(twice)}")
         is_map = isinstance(df.schema[column].dataType, T.MapType)
         made = ["pos", "key", "value"] if is_map else ["pos", "col"]
         if isinstance(alias, str) and not is_map:
             made = ["pos", alias]
-        out = df.select(*kept, F.posexplode(column).alias(*made))
         if isinstance(alias, str):
-            return out
-        return out.withColumns({new: F.col(old) for old, new in alias.items()}).drop("col")
+            return df.select(*kept, F.posexplode(column).alias(*made))
+        own = [f"_made_{c}" for c in made]
+        out = df.select(*kept, F.posexplode(column).alias(*own))
+        shown = [F.col(o).alias(c) for o, c in zip(own, made) if c != "col"]
+        return out.select(*kept, *shown, *[F.col(f"_made_{old}").alias(new) for old, new in alias.items()])
 
     return apply
 

@@ -1,5 +1,6 @@
 """The four batch jobs."""
 
+from mixloom.plans.current import current_mixes
 from mixloom.plans.daily import daily_mix
 from mixloom.plans.discovery import DiscoverySettings, DiscoveryTables, discovery_mix
 from mixloom.plans.observed import observed_tracks
@@ -10,6 +11,7 @@ __all__ = [
     "DiscoverySettings",
     "DiscoveryTables",
     "MixCheckError",
+    "current_mixes",
     "daily_mix",
     "discovery_mix",
     "mix_quality_report",

@@ -3,20 +3,25 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mixloom.functions.time import AsOf
 from mixloom.operators.shape import explode_tracks
+from mixloom.plans.current import current_mixes
 
 # Repeats of one mix that are written out together.
 PORTION = 1000
 
 
-def observed_tracks(mixes: DataFrame, observed: DataFrame) -> DataFrame:
+def observed_tracks(mixes: DataFrame, observed: DataFrame, as_of: AsOf | None = None) -> DataFrame:
     """``user, trackGroup`` of the stored mixes whose ``mixId`` was observed.
 
+    With ``as_of``, of stored mixes of several weeks, which share their ids, the current ones.
     A mix observed n times gives its tracks n times. Observations are counted before the join, which
     so has one row per mix on either side, and the repeats of a mix are dealt in portions to many
     tasks, for the case that one mix has most of the observations.
     """
     counts = observed.groupBy("mixId").agg(F.count(F.lit(1)).alias("times"))
+    if as_of is not None:
+        mixes = mixes.transform(current_mixes(as_of))
     opened = mixes.select("mixId", "user", "tracks").join(counts, "mixId")
     starts = F.sequence(F.lit(0), F.col("times") - 1, F.lit(PORTION))
     portions = opened.select("*", F.explode(starts).alias("start")).repartition("mixId", "start")

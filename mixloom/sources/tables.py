@@ -36,7 +36,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return conform(spark.read.parquet(path), table)
+    """A table by its path, or by its name in the catalog, which has no slash."""
+    return conform(spark.read.parquet(path) if "/" in path else spark.table(path), table)
 
 
 def read_vocabulary(spark: SparkSession, model_path: str) -> DataFrame:

@@ -2,16 +2,10 @@ import os
 import sys
 
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mixloom.operators import scoring  # noqa: E402
-
-# Python workers need not be able to import the package.
-cloudpickle.register_pickle_by_value(scoring)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -1,3 +1,5 @@
+import pytest
+
 from mixloom.operators.shape import (
     daily_slice,
     explode_positions,
@@ -30,15 +32,24 @@ def test_explode_map(frame, rows):
 
 
 def test_explode_recommendations(frame, rows):
-    df = frame("user bigint, recommendations array<string>", (1, ["xxx", "xyz"]))
+    df = frame("user bigint, recommendations array<string>", (71, ["low", "high", "low"]))
     out = df.transform(explode_recommendations())
-    assert rows(out, "userId", "trackGroup", "pos") == [(1, "xxx", 0), (1, "xyz", 1)]
+    assert rows(out, "userId", "trackGroup", "pos") == [(71, "high", 1), (71, "low", 0), (71, "low", 2)]
+
+
+def test_explode_keeps_the_callers_columns(frame, rows):
+    df = frame("col string, m map<string,int>", ("mine", {"x": 7}))
+    out = df.transform(explode_positions("m", {"key": "name", "value": "n"}))
+    assert rows(out, "col", "name", "n", "key", "value") == [("mine", "x", 7, "x", 7)]
+    with pytest.raises(ValueError, match="already has"):
+        frame("pos int, a array<int>", (1, [2])).transform(explode_positions("a"))
 
 
 def test_daily_slice_by_weekday(frame):
-    df = frame("user bigint, tracks array<bigint>", *[(u, [10, 11, 12, 13, 14, 15, 16]) for u in range(4)])
-    for day, first in (("2021-02-15", 10), ("2021-02-18", 13), ("2021-02-21", 16)):
-        assert [r["tracks"] for r in df.transform(daily_slice(day, 1)).collect()] == [[first]] * 4
+    week = {"2023-05-01": ["m", "n"], "2023-05-03": ["q", "r"], "2023-05-06": ["w"], "2023-05-07": []}
+    df = frame("user bigint, tracks array<string>", (802, list("mnopqrstuvw")))
+    for day, part in week.items():
+        assert df.transform(daily_slice(day, 2)).first()["tracks"] == part
 
 
 def test_slice_past_the_end_and_minimum(frame, rows):

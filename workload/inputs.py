@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 
 from mixloom.functions import clean_title, mix_id, ordered_values
 from mixloom.functions.ids import DISCOVERY_PREFIX
-from mixloom.operators.enrich import track_group_metadata
+from mixloom.operators.assemble import assemble_discovery_mix
+from mixloom.operators.enrich import track_group_metadata, with_track_metadata
+from mixloom.operators.exclude import filter_heard
 from mixloom.operators.rank import top_n
+from mixloom.operators.shape import explode_recommendations
 from mixloom.plans import DiscoverySettings, DiscoveryTables, observed_tracks
 
 # The last order date of the data.
 AS_OF = "2001-08-01"
-# A Friday, on which mixes of fewer than 48 tracks have no daily part any more.
-DAILY_DATE = "2001-08-03"
-RUN_AT = "2001-08-03 04:05:06+00:00"
+# A Sunday, on which mixes of fewer than 68 tracks have no daily part any more.
+DAILY_DATE = "2001-08-05"
+RUN_AT = "2001-08-05 04:05:06+00:00"
 SETTINGS = DiscoverySettings(mix_size=35, min_mix_size=34)
 ARTISTS = 40
 LIST_SIZE = 200
-SEQUENCE_SIZE = 500
 
 
 def text(column: Column | str) -> Column:
@@ -100,21 +102,23 @@ class Inputs:
 
     @cached_property
     def artists(self) -> DataFrame:
-        a = F.col("artistId")
-        return self.artist_ids.select(
+        """Names are those of nations, of which there are fewer than artists; some have no picture."""
+        a = F.col("n_nationkey")
+        return self.table("nation").select(
             a.alias("id"),
-            F.concat(F.lit("Artist "), text(a)).alias("name"),
+            F.col("n_name").alias("name"),
             F.when(a % 5 != 0, F.concat(F.lit("picture-"), text(a))).alias("picture"),
-        ).where("id <> 38")
+        )
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return self.artist_ids.where("artistId <> 39").select("artistId", (F.col("artistId") % 7).alias("cluster"))
+        """Nations' regions; the artists beyond them have no cluster."""
+        return self.table("nation").select(F.col("n_nationkey").alias("artistId"), F.col("n_regionkey").alias("cluster"))
 
     @cached_property
     def similar_artists(self) -> DataFrame:
-        near = F.array(*[(F.col("artistId") + step) % ARTISTS for step in (1, 3, 7, 12)])
-        return self.artist_ids.where("artistId <> 37").select("artistId", near.alias("neighbours"))
+        near = F.array(*[(F.col("n_nationkey") + step) % ARTISTS for step in (1, 3, 7, 12)])
+        return self.table("nation").select(F.col("n_nationkey").alias("artistId"), near.alias("neighbours"))
 
     @cached_property
     def compounds(self) -> DataFrame:
@@ -136,26 +140,25 @@ class Inputs:
     @cached_property
     def users(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name")
-        customer = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+        customer = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("id"),
             F.col("n_name").alias("countryCode"),
             F.col("c_mktsegment").alias("segment"),
-            F.col("c_acctbal").alias("balance"),
         )
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        """200 parts per user, the same 200 for the users of one bucket, in an order of the user's own.
+        """Some 200 parts per user, the same ones for the users of one bucket, in an order of the user's own.
 
-        Users are dealt to all cores first, because the table may be one file; their lists are then
+        Runs of as many parts as there are artists are dealt to the buckets in turn, so each part is in one whatever
+        its key. Users are dealt to tasks first, because the table may be one file; their lists are then
         gathered where they are.
         """
         buckets = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / LIST_SIZE))
         n_buckets = self.table("part").agg(buckets).scalar()
-        parts = self.table("part").select("p_partkey", whole("p_partkey", LIST_SIZE).alias("bucket"))
-        spread = self.spark.sparkContext.defaultParallelism
-        customer = self.table("customer").select(F.col("c_custkey").alias("user")).repartition(spread, "user")
+        parts = self.table("part").select("p_partkey", (whole("p_partkey", ARTISTS) % n_buckets).alias("bucket"))
+        customer = self.table("customer").select(F.col("c_custkey").alias("user")).repartition("user")
         pairs = customer.withColumn("bucket", F.col("user") % n_buckets).join(parts, "bucket")
         keyed = pairs.select(
             "user",
@@ -225,14 +228,19 @@ class Inputs:
 
     @cached_property
     def mixes(self) -> DataFrame:
-        """Stored mixes of 30 to 70 tracks: the heads of the recommendations."""
-        size = F.lit(30) + F.col("user") % 41
-        return self.recommendations.select(
-            F.col("user").cast("int").alias("user"),
-            F.slice("recommendations", F.lit(1), size.cast("int")).alias("tracks"),
-            mix_id(DISCOVERY_PREFIX, "user").alias("mixId"),
-            F.lit(AS_OF).alias("atDate"),
+        """Stored mixes: of the tracks that a user never played, the best two of each artist."""
+        described = self.recommendations.transform(explode_recommendations()).transform(with_track_metadata(self.tracks))
+        unheard = described.transform(filter_heard(self.track_history, min_plays=0, months=0))
+        best = unheard.transform(top_n(["userId", "artistId"], ["pos", "trackGroup"], 2))
+        return best.transform(assemble_discovery_mix(AS_OF, order_by=["pos"], min_mix_size=1))
+
+    @cached_property
+    def mixes_of_two_weeks(self) -> DataFrame:
+        """The stored mixes, and those of the week before with the tracks the other way round."""
+        earlier = self.mixes.withColumns(
+            {"tracks": F.reverse("tracks"), "atDate": F.date_sub(F.lit(AS_OF).cast("date"), 7).cast("string")}
         )
+        return self.mixes.unionByName(earlier)
 
     @cached_property
     def observed_mixes(self) -> DataFrame:
@@ -250,7 +258,7 @@ class Inputs:
 
     @cached_property
     def artist_cards(self) -> DataFrame:
-        """Cards of the artists of a user's first 20 recommendations; some lack the image or the cover."""
+        """Cards of the artists of a user's recommendations; some lack the image or the cover."""
 
         def card(track: Column) -> Column:
             a = track.cast("int") % ARTISTS
@@ -259,8 +267,8 @@ class Inputs:
             name = F.concat(F.lit("Artist "), text(a))
             return F.struct(a.alias("id"), name.alias("name"), image.alias("image"), cover.alias("cover"))
 
-        heads = F.slice("recommendations", 1, 20)
-        return self.recommendations.select(F.col("user").alias("userId"), F.transform(heads, card).alias("cards"))
+        cards = F.transform("recommendations", card)
+        return self.recommendations.select(F.col("user").alias("userId"), cards.alias("cards"))
 
     @cached_property
     def plays(self) -> DataFrame:
@@ -272,18 +280,13 @@ class Inputs:
 
     @cached_property
     def sequences(self) -> DataFrame:
-        """Each user's latest events, as many as the scorer reads, in order of time."""
-        latest = self.plays.where("index is not null").transform(
-            top_n(["user"], [F.desc("ts"), F.desc("event_id")], SEQUENCE_SIZE)
-        )
-        return latest.groupBy("user").agg(ordered_values("index", ["ts", "event_id"]).alias("items"))
+        """Each user's events in order of time."""
+        return self.plays.groupBy("user").agg(ordered_values("index", ["ts", "event_id"]).alias("items"))
 
     @cached_property
     def vocabulary(self) -> DataFrame:
-        """Items of the events, without every 20th."""
-        index = F.col("index")
-        known = self.plays.where("index % 20 <> 0").select("index").distinct()
-        return known.select(F.concat(F.lit("item-"), text(index)).alias("item"), "index")
+        """Suppliers' names by key, which some of the events' numbers are not."""
+        return self.table("supplier").select(F.col("s_name").alias("item"), F.col("s_suppkey").cast("int").alias("index"))
 
     @cached_property
     def discovery(self) -> DiscoveryTables:

@@ -3,7 +3,6 @@
 from collections.abc import Callable
 
 import numpy as np
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +10,9 @@ from mixloom.functions import at_date, clean_title, mix_id, pick_artists, pick_a
 from mixloom.functions import updated_millis
 from mixloom.operators import assemble, enrich, exclude, rank, scoring, shape
 from mixloom.operators.joins import lookup
-from mixloom.plans import daily_mix, discovery_mix, mix_quality_report, observed_tracks, score_sequences
+from mixloom.plans import current_mixes, daily_mix, discovery_mix, mix_quality_report, observed_tracks, score_sequences
 from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs
 
-# Python workers get the scoring helpers with the query, wherever the session was started.
-cloudpickle.register_pickle_by_value(scoring)
-
 # A mix of 14, which most users' known artists do not fit into.
 MIX_SIZE = 14
 HEARD = dict(as_of=AS_OF, min_plays=2, months=12, date_col="dt")
@@ -75,7 +71,7 @@ def listed(df: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, owner: str, column: str, item: str = "item") -> DataFrame:
-    return df.select(owner, F.posexplode(column).alias("position", item))
+    return df.select(owner, F.posexplode_outer(column).alias("position", item))
 
 
 # Queries
@@ -133,9 +129,8 @@ def filter_heard_albums(i: Inputs) -> DataFrame:
 
 
 def enrich_user(i: Inputs) -> DataFrame:
-    solvent = i.users.where("balance >= 0")
     mapping = {"countryCode": "country", "segment": "segment"}
-    return candidates(i).transform(enrich.with_user_columns(solvent, "userId", mapping))
+    return candidates(i).transform(enrich.with_user_columns(i.users, "userId", mapping))
 
 
 def enrich_artist_cluster(i: Inputs) -> DataFrame:
@@ -147,12 +142,11 @@ def assemble_discovery_mix(i: Inputs) -> DataFrame:
 
 
 def assemble_artist_mix(i: Inputs) -> DataFrame:
-    """The 50 most played tracks of each artist."""
+    """All played tracks of each artist, the most played first."""
     plays = i.lines.groupBy(F.col("part").cast("string").alias("trackGroup")).agg(F.count(F.lit(1)).alias("plays"))
     described = plays.join(enrich.track_group_metadata(i.tracks), "trackGroup")
-    order = [F.desc("plays"), "trackGroup"]
-    best = described.transform(rank.top_n(["artistId"], order, 50, rank_col="rank"))
-    return listed(best.transform(assemble.assemble_artist_mix(AS_OF)))
+    ranked = described.withColumn("rank", -F.col("plays"))
+    return listed(ranked.transform(assemble.assemble_artist_mix(AS_OF)))
 
 
 def mix_ids(i: Inputs) -> DataFrame:
@@ -197,23 +191,19 @@ def scored_by_model(i: Inputs) -> DataFrame:
         """Recommends what a sequence holds most often; lower indexes first among equals."""
 
         def score(sequences: np.ndarray, n_recs: int) -> list:
-            ranked = []
-            for row in sequences:
-                items, times = np.unique(row[row > 0], return_counts=True)
-                ranked.append(items[np.argsort(-times, kind="stable")][:n_recs])
-            return ranked
+            row, column = np.nonzero(sequences)
+            pairs, times = np.unique(np.stack([row, sequences[row, column]], axis=1), axis=0, return_counts=True)
+            order = np.lexsort((pairs[:, 1], -times, pairs[:, 0]))
+            return np.split(pairs[order, 1], np.searchsorted(pairs[order, 0], np.arange(1, len(sequences))))
 
         return score
 
-    partitions = i.spark.sparkContext.defaultParallelism
-    lists = score_sequences(
-        i.sequences, i.vocabulary, most_frequent_items, n_recs=10, max_seq_len=50, n_partitions=partitions
-    )
+    lists = score_sequences(i.sequences, i.vocabulary, most_frequent_items, n_recs=10, max_seq_len=50)
     return positions(lists, "user", "recommendations")
 
 
 def quality(i: Inputs) -> DataFrame:
-    return mix_quality_report(i.mixes, 35, 60)
+    return mix_quality_report(i.mixes, 72, 79)
 
 
 Query = Callable[[Inputs], DataFrame]
@@ -266,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "daily_mix": lambda i: listed(daily_mix(i.mixes, DAILY_DATE, RUN_AT)),
     "discovery_mix": lambda i: listed(discovery_mix(i.discovery, AS_OF, SETTINGS)),
     "mix_quality_report": quality,
+    "current_mixes": lambda i: listed(i.mixes_of_two_weeks.transform(current_mixes(AS_OF))),
 }
 
 

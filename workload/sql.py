@@ -23,20 +23,18 @@ STEPS = {
         FROM part CROSS JOIN nation WHERE (p_partkey + n_nationkey) % 3 <> 0""",
     "artist_ids": "SELECT DISTINCT p_partkey % 40 AS artistId FROM part",
     "artists": """
-        SELECT artistId AS id, 'Artist ' || artistId AS name,
-               CASE WHEN artistId % 5 <> 0 THEN 'picture-' || artistId END AS picture
-        FROM artist_ids WHERE artistId <> 38""",
-    "clusters": "SELECT artistId, artistId % 7 AS cluster FROM artist_ids WHERE artistId <> 39",
+        SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_nationkey % 5 <> 0 THEN 'picture-' || n_nationkey END AS picture
+        FROM nation""",
+    "clusters": "SELECT n_nationkey AS artistId, n_regionkey AS cluster FROM nation",
     "neighbours": """
-        SELECT artistId, (artistId + s.step) % 40 AS neighbour, s.place
-        FROM artist_ids CROSS JOIN (VALUES (1, 0), (3, 1), (7, 2), (12, 3)) s(step, place)
-        WHERE artistId <> 37""",
+        SELECT n_nationkey AS artistId, (n_nationkey + s.step) % 40 AS neighbour, s.place
+        FROM nation CROSS JOIN (VALUES (1, 0), (3, 1), (7, 2), (12, 3)) s(step, place)""",
     "compounds": """
         SELECT artistId, (artistId - m.back) % 32 AS artistCompoundId, m.priority, m.main AS mainArtist
         FROM artist_ids CROSS JOIN (VALUES (31, 2, true), (32, 1, true), (30, 0, false)) m(back, priority, main)
         WHERE artistId >= 32""",
     "users": """
-        SELECT c_custkey AS id, n_name AS countryCode, c_mktsegment AS segment, c_acctbal AS balance
+        SELECT c_custkey AS id, n_name AS countryCode, c_mktsegment AS segment
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "recs": """
         SELECT c_custkey AS userId, CAST(p_partkey AS VARCHAR) AS trackGroup,
@@ -45,7 +43,8 @@ STEPS = {
                                                 CAST(p_partkey AS VARCHAR)) - 1
                     AS INTEGER) AS pos
         FROM customer JOIN part
-          ON p_partkey // 200 = c_custkey % (SELECT greatest(1, count(*) // 200) FROM part)""",
+          ON p_partkey // 40 % (SELECT greatest(1, count(*) // 200) FROM part)
+             = c_custkey % (SELECT greatest(1, count(*) // 200) FROM part)""",
     "plays": """
         SELECT o_custkey AS userId, l_partkey AS part, l_linenumber, l_quantity, l_returnflag, o_orderdate
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -71,9 +70,12 @@ STEPS = {
                     ELSE CAST(part AS VARCHAR) END AS artifactId
         FROM plays""",
     "mixes": """
-        SELECT CAST(userId AS INTEGER) AS user, list(trackGroup ORDER BY pos) AS tracks,
+        SELECT CAST(userId AS INTEGER) AS user, list(trackGroup ORDER BY pos, trackGroup) AS tracks,
                substr(md5('discovery_mix_' || userId), 1, 27) AS mixId, '2001-08-01' AS atDate
-        FROM recs WHERE pos < 30 + userId % 41 GROUP BY userId""",
+        FROM (SELECT * FROM cand c
+              WHERE NOT EXISTS (SELECT 1 FROM track_history x WHERE x.userId = c.userId AND x.trackGroup = c.trackGroup)
+              QUALIFY row_number() OVER (PARTITION BY userId, artistId ORDER BY pos, trackGroup) <= 2)
+        GROUP BY userId""",
     "observed": """
         SELECT substr(md5('discovery_mix_' || c_custkey), 1, 27) AS mixId
         FROM customer CROSS JOIN (VALUES (1), (2)) t(time)
@@ -83,15 +85,14 @@ STEPS = {
         SELECT userId, pos, id, 'Artist ' || id AS name,
                CASE WHEN id % 7 = 0 THEN '' WHEN id % 5 <> 0 THEN 'image-' || id END AS image,
                CASE WHEN id % 3 <> 0 THEN 'cover-' || id END AS cover
-        FROM (SELECT userId, pos, CAST(trackGroup AS INTEGER) % 40 AS id FROM recs WHERE pos < 20)""",
+        FROM (SELECT userId, pos, CAST(trackGroup AS INTEGER) % 40 AS id FROM recs)""",
     "sequence": """
         SELECT user_id AS user, index,
                CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS place,
                CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS back
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS index FROM events)
-        WHERE index IS NOT NULL
-        QUALIFY back <= 500""",
-    "vocabulary": "SELECT DISTINCT 'item-' || index AS item, index FROM sequence WHERE index % 20 <> 0",
+        WHERE index IS NOT NULL""",
+    "vocabulary": "SELECT s_name AS item, s_suppkey AS index FROM supplier",
     # Steps
     "meta": """
         SELECT trackGroup, mainArtistsIds[1] AS artistId, title FROM tracks
@@ -257,7 +258,7 @@ QUERIES = {
         SELECT userId, artistId, name, picture AS image FROM known JOIN artists ON id = artistId""",
     "enrich_user": """
         SELECT userId, trackGroup, pos, countryCode AS country, segment
-        FROM recs LEFT JOIN users ON id = userId AND balance >= 0""",
+        FROM recs LEFT JOIN users ON id = userId""",
     "resolve_main_artist": """
         SELECT userId, trackGroup, coalesce(m.artistCompoundId, c.artistId) AS artistId, pos
         FROM cand c LEFT JOIN (SELECT * FROM compounds WHERE mainArtist
@@ -275,7 +276,7 @@ QUERIES = {
                      row_number() OVER (PARTITION BY artistId ORDER BY times DESC, trackGroup) AS place
               FROM (SELECT CAST(part AS VARCHAR) AS trackGroup, count(*) AS times FROM plays GROUP BY part)
               JOIN meta USING (trackGroup))
-        WHERE place <= 50 GROUP BY artistId""",
+        GROUP BY artistId""",
     "mix_id": "SELECT c_custkey AS userId, substr(md5('discovery_mix_' || c_custkey), 1, 27) AS mixId FROM customer",
     "mix_id_stable": "SELECT c_name AS name, substr(md5(c_name), 1, 27) AS mixId FROM customer",
     "clean_title": f"SELECT id, title, {CLEAN} AS cleanedTitle FROM tracks",
@@ -293,14 +294,16 @@ QUERIES = {
         FROM sequence s LEFT JOIN vocabulary v ON v.index = s.index""",
     "score_sequences": """
         SELECT s.user, n.position, v.item
-        FROM sequence s JOIN (
+        FROM sequence s LEFT JOIN (
             SELECT index, next,
                    CAST(row_number() OVER (PARTITION BY index ORDER BY times DESC, next) - 1 AS INTEGER) AS position
             FROM (SELECT a.index, b.index AS next, count(*) AS times
-                  FROM sequence a JOIN sequence b ON b.user = a.user AND b.place = a.place + 1 GROUP BY ALL)) n
-          ON n.index = s.index
+                  FROM (SELECT * FROM sequence WHERE back <= 500) a
+                  JOIN (SELECT * FROM sequence WHERE back <= 500) b ON b.user = a.user AND b.place = a.place + 1
+                  GROUP BY ALL)) n
+          ON n.index = s.index AND n.position < 10
         LEFT JOIN vocabulary v ON v.index = n.next
-        WHERE s.back = 1 AND n.position < 10""",
+        WHERE s.back = 1""",
     "score_sequences_with_model": """
         SELECT f.user, CAST(f.place - 1 AS INTEGER) AS position, v.item
         FROM (SELECT user, index, row_number() OVER (PARTITION BY user ORDER BY count(*) DESC, index) AS place
@@ -309,12 +312,13 @@ QUERIES = {
         WHERE f.place <= 10""",
     "observed_tracks": "SELECT user, trackGroup FROM observed_tracks",
     "daily_slice": """
-        SELECT user, coalesce(array_to_string(tracks[41:50], ','), '') AS tracks, mixId, atDate FROM mixes""",
+        SELECT user, coalesce(array_to_string(tracks[61:70], ','), '') AS tracks, mixId, atDate FROM mixes""",
     "daily_mix": """
-        SELECT user, array_to_string(tracks[41:50], ',') AS tracks, mixId, atDate,
-               epoch_ms(TIMESTAMP '2001-08-03 04:05:06') AS updated
-        FROM mixes WHERE len(tracks[41:50]) >= 8""",
+        SELECT user, array_to_string(tracks[61:70], ',') AS tracks, mixId, atDate,
+               epoch_ms(TIMESTAMP '2001-08-05 04:05:06') AS updated
+        FROM mixes WHERE len(tracks[61:70]) >= 8""",
     "discovery_mix": mixes_of("mix", 34),
+    "current_mixes": "SELECT user, array_to_string(tracks, ',') AS tracks, mixId, atDate FROM mixes",
     "mix_quality_report": """
         SELECT c.name AS check, CAST(CASE c.name
             WHEN 'rows' THEN (SELECT count(*) FROM mixes)
@@ -322,8 +326,8 @@ QUERIES = {
             WHEN 'repeated_owners' THEN (SELECT count(*) FROM (SELECT user FROM mixes WHERE user IS NOT NULL
                                                                GROUP BY user HAVING count(*) > 1))
             WHEN 'null_tracks' THEN (SELECT count(*) FROM mixes WHERE tracks IS NULL)
-            WHEN 'too_short' THEN (SELECT count(*) FROM mixes WHERE len(tracks) < 35)
-            WHEN 'too_long' THEN (SELECT count(*) FROM mixes WHERE len(tracks) > 60) END AS BIGINT) AS value
+            WHEN 'too_short' THEN (SELECT count(*) FROM mixes WHERE len(tracks) < 72)
+            WHEN 'too_long' THEN (SELECT count(*) FROM mixes WHERE len(tracks) > 79) END AS BIGINT) AS value
         FROM (VALUES ('rows'), ('null_owners'), ('repeated_owners'),
                      ('null_tracks'), ('too_short'), ('too_long')) c(name)""",
 }
