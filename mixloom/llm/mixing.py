@@ -176,7 +176,8 @@ def _taken(placed: DataFrame, sources, block: int, shards: int, seed: int) -> Da
     mix = slots(placed.sparkSession, sources, block, shards, seed)
     mix = mix.withColumnsRenamed({"rank": "_rank", "block": "_block"})
     same = (F.col("rank") == F.col("_rank")) & (F.col("block") == F.col("_block"))
-    held = _pieces(placed, block).join(mix, same).drop("_rank", "_block")
+    # Nothing tells Spark how many slots a run stands for, so its estimate must not decide on a broadcast.
+    held = _pieces(placed, block).join(mix.hint("merge"), same).drop("_rank", "_block")
     n = F.greatest(F.lit(0), F.least(F.col("n"), F.col("words") - F.col("offset")))
     return held.withColumn("n", n).where("n > 0")
 
