@@ -36,6 +36,8 @@ SHARDS = 64
 SEED = 20_240_607
 #: Slots that one row of the plan stands for at most; such rows are what tasks are made of.
 RUN = 1 << 14
+#: Slots that a task makes, about.
+TASK = 1 << 18
 
 
 def targets(sizes: list[int], share: float = SHARE, most: float = MOST, weights=WEIGHTS) -> list[float]:
@@ -131,7 +133,9 @@ def slots(spark, sources: list[tuple[str | None, int, float]], block: int = BLOC
                 rest = [pa.array(v.astype(np.int64)) for v in (slot, at, turn, length)]
                 yield pa.RecordBatch.from_arrays([*same, *rest], ["shard", "rank", "slot", "block", "pass", "words"])
 
-    dealt = runs.repartition("shard", "rank", "at").select("shard", "rank", "first", "n", "blocks", "size", "target")
+    # The rows are few and small, so their number of tasks follows from the slots that they stand for.
+    tasks = max(1, -(-int(counts.sum()) // TASK))
+    dealt = runs.repartition(tasks, "shard", "rank", "at").select("shard", "rank", "first", "n", "blocks", "size", "target")
     return dealt.mapInArrow(run, "shard int, rank int, slot long, block long, pass long, words long")
 
 
