@@ -44,32 +44,23 @@ def count_words(column: str = "text") -> Column:
 
 
 def running_positions(
-    df: DataFrame, group: list[str], order: list[str], amount: Column, into: str, cells: int = 64
+    df: DataFrame, group: str, order: list[str], amount: Column, into: str, cells: int = 256
 ) -> DataFrame:
-    """Adds ``into``: the sum of ``amount`` over the rows of the same group before this one.
+    """Adds ``into``: the sum of ``amount`` over the rows of the same group, which is never null, before this one.
 
     Groups are ordered by a hash cell of ``order`` first and by ``order`` within a cell, so that a group
-    with a third of all rows is summed in many tasks. Only one total per group and cell is gathered.
+    with a third of all rows is summed in many tasks. Only one total per group and cell is gathered; where
+    those totals are too many to broadcast, their join uses the partitions that the sums within cells made.
     Rows that are equal in all of ``order`` change nothing if they change places.
     """
     cell = F.pmod(F.xxhash64(*order), F.lit(cells)).cast("int")
     celled = df.withColumns({"_cell": cell, "_amount": amount.cast("long")})
-    totals = celled.groupBy(*group, "_cell").agg(F.sum("_amount").alias("_total"))
-    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    named = {g: f"_g{n}" for n, g in enumerate(group)}
-    starts = totals.select(
-        *[F.col(g).alias(n) for g, n in named.items()],
-        F.col("_cell").alias("_in"),
-        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"),
-    )
-    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in named.items()]
-    on = (F.col("_cell") == F.col("_in")) if not same else None
-    for s in same:
-        on = s if on is None else on & s
-    if same:
-        on = on & (F.col("_cell") == F.col("_in"))
-    within = Window.partitionBy(*group, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = celled.groupBy(group, "_cell").agg(F.sum("_amount").alias("_total"))
+    before = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start")
+    starts = totals.select(F.col(group).alias("_group"), F.col("_cell").alias("_in"), start)
+    within = Window.partitionBy(group, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     summed = celled.withColumn("_within", F.coalesce(F.sum("_amount").over(within), F.lit(0)))
-    return summed.join(starts, on, "left").withColumn(into, F.col("_start") + F.col("_within")).drop(
-        "_cell", "_amount", "_within", "_start", "_in", *named.values()
-    )
+    same = (F.col(group) == F.col("_group")) & (F.col("_cell") == F.col("_in"))
+    placed = summed.join(starts, same).withColumn(into, F.col("_start") + F.col("_within"))
+    return placed.drop("_cell", "_amount", "_within", "_start", "_in", "_group")

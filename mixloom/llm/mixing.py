@@ -147,7 +147,7 @@ def _placed(sized: DataFrame, sources: list[tuple[str | None, int, float]]) -> D
     ]
     table = sized.sparkSession.range(1).select(F.inline(F.array(*of)))
     ranked = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return running_positions(ranked, ["rank"], ["doc_id", "key"], F.col("size"), "start")
+    return running_positions(ranked, "rank", ["doc_id", "key"], F.col("size"), "start")
 
 
 def _pieces(placed: DataFrame, block: int) -> DataFrame:

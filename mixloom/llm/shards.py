@@ -140,7 +140,7 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     )
     _, cuts = find_cuts(sized, shards)
     placed = sized.withColumn("shard", _shard(cuts))
-    numbered = running_positions(placed, ["shard"], ["doc_id", "digest"], F.lit(1), "slot")
+    numbered = running_positions(placed, "shard", ["doc_id", "digest"], F.lit(1), "slot")
     return numbered.select(
         "doc_id",
         "size",
