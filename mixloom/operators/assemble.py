@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mixloom.functions import mix_id, ordered_values
 from mixloom.functions.ids import ARTIST_TOP_TRACKS_PREFIX, DISCOVERY_PREFIX
 from mixloom.functions.time import AsOf
+from mixloom.operators.rank import top_n
 from mixloom.operators.shape import Operator
 
 
@@ -39,13 +40,19 @@ def assemble_discovery_mix(
     return apply
 
 
-def assemble_artist_mix(as_of: AsOf, order_by: Sequence[str] = ("rank",), id_type: str = "int") -> Operator:
+def assemble_artist_mix(
+    as_of: AsOf, order_by: Sequence[str] = ("rank",), id_type: str = "int", size: int | None = None
+) -> Operator:
     """``artistId, tracks, mixId, atDate``, one row per artist.
 
-    The list is as long as the artist's rows: cut them with ``top_n`` first.
+    With ``size``, the first so many tracks: rows beyond it are dropped before the shuffle. Without it the list is
+    as long as the artist's rows, which then must be few enough for one row.
     """
 
     def apply(df: DataFrame) -> DataFrame:
+        if size is not None:
+            named = df.where(F.col("trackGroup").isNotNull()).withColumn("trackGroup", F.col("trackGroup").cast("string"))
+            df = named.transform(top_n(["artistId"], [*order_by, "trackGroup"], size))
         lists = df.transform(ordered_tracks("artistId", order_by))
         owned = lists.select(F.col("artistId").cast(id_type).alias("artistId"), "tracks")
         return owned.select(

@@ -16,15 +16,19 @@ def observed_tracks(mixes: DataFrame, observed: DataFrame, as_of: AsOf | None =
 
     With ``as_of``, of stored mixes of several weeks, which share their ids, the current ones.
     A mix observed n times gives its tracks n times. Observations are counted before the join, which
-    so has one row per mix on either side, and the repeats of a mix are dealt in portions to many
-    tasks, for the case that one mix has most of the observations.
+    so has one row per mix on either side. Up to ``PORTION`` repeats are written out where the mix is;
+    only mixes with more are shuffled, their further repeats dealt in portions to many tasks.
     """
     counts = observed.groupBy("mixId").agg(F.count(F.lit(1)).alias("times"))
     if as_of is not None:
         mixes = mixes.transform(current_mixes(as_of))
     opened = mixes.select("mixId", "user", "tracks").join(counts, "mixId")
-    starts = F.sequence(F.lit(0), F.col("times") - 1, F.lit(PORTION))
-    portions = opened.select("*", F.explode(starts).alias("start")).repartition("mixId", "start")
+    size = F.lit(PORTION).cast("long")
+    first = opened.withColumn("start", F.lit(0).cast("long"))
+    further = opened.where(F.col("times") > PORTION).select(
+        "*", F.explode(F.sequence(size, F.col("times") - 1, size)).alias("start")
+    )
+    portions = first.unionByName(further.repartition("mixId", "start"))
     last = F.least(F.col("start") + PORTION, F.col("times"))
     repeats = portions.select("user", "tracks", F.explode(F.sequence(F.col("start") + 1, last)))
     return repeats.transform(explode_tracks)

@@ -22,3 +22,11 @@ def test_artist_mix_has_no_minimum(frame):
     found = {r["artistId"]: (r["tracks"], r["mixId"]) for r in out.collect()}
     assert found[5][0] == ["c", "b", "a"] and found[6][0] == ["z"]
     assert found[5][1] != found[6][1] and len(found[5][1]) == 27
+
+
+def test_artist_mix_of_a_size(frame):
+    df = frame("artistId bigint, trackGroup bigint, rank int", (5, 9, 1), (5, 10, 1), (5, None, 0), (5, 3, 2), (6, 4, 7))
+    out = df.transform(assemble_artist_mix("2021-02-15", size=2))
+    assert {r["artistId"]: r["tracks"] for r in out.collect()} == {5: ["10", "9"], 6: ["4"]}
+    whole = df.transform(assemble_artist_mix("2021-02-15"))
+    assert {r["artistId"]: r["tracks"] for r in whole.collect()} == {5: ["10", "9", "3"], 6: ["4"]}

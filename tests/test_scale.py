@@ -162,12 +162,24 @@ def test_vocabulary_is_joined_as_the_session_allows(spark, no_broadcast, frame):
 
 
 def test_hot_artist_in_the_compounds_is_split(spark, no_broadcast, frame):
-    members = frame("artistId bigint, artistCompoundId bigint, priority bigint, mainArtist boolean", (1, 2, 1, True))
-    entries = frame("userId string, artifactType string, artifactId string", ("1", "ARTIST", "2"))
-    df = frame("userId bigint, artistId bigint", (1, 1), (1, 2), (1, 3))
-    out = df.transform(exclude.filter_blacklisted_artists(entries, members))
-    # Both sides have a shuffle of their own, which the skew join can cut.
-    assert plan_of(out).count("SortMergeJoin") >= 2 and [tuple(r) for r in out.collect()] == [(1, 3)]
+    i = F.col("id")
+    artist = F.when(i % 3 == 0, 0).otherwise(i % 400)
+    entries = spark.range(0, 60_000, 1, 6).select(
+        F.md5(i.cast("string")).alias("userId"), F.lit("ARTIST").alias("artifactType"), artist.cast("string").alias("artifactId")
+    )
+    members = spark.range(0, 400).select(i.alias("artistCompoundId"), (i + 1000).alias("artistId"))
+    keys = exclude.blacklisted_artist_keys(entries, members, frame("userId string, artistId bigint"))
+    found = {r["artistId"]: r["count"] for r in keys.groupBy("artistId").count().collect()}
+    assert found[0] == found[1000] >= 20_000 and sum(found.values()) == 120_000
+    assert len(keys.collect()) == 120_000 and "skew=true" in plan_of(keys)
+
+
+def test_lists_of_usual_mixes_are_not_shuffled_again(spark, no_broadcast, frame):
+    mixes = frame("user int, tracks array<string>, mixId string, atDate string", (1, ["a"], "m", "d"))
+    plan = plan_of(observed_tracks(mixes, frame("mixId string", ("m",))), "extended").split("== Physical Plan ==")[1]
+    first, further = plan[plan.index("Union") :].split("REPARTITION_BY_COL")
+    # Above the join the one shuffle is that of mixes with further repeats.
+    assert "Exchange" not in first.split("SortMergeJoin")[0] and "times" in further
 
 
 def test_lookup_of_rows_with_maps(frame, rows):
