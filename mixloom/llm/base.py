@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], field: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices of some ``most`` bytes of the text in column ``field``, at least one row each.
+
+    An Arrow batch may hold 10,000 long texts; of these only a slice at a time becomes Python strings.
+    """
+    for batch in batches:
+        at, size = 0, 0
+        for n, text in enumerate(batch.column(field)):
+            size += text.as_buffer().size if text.is_valid else 0
+            if size >= most:
+                yield batch.slice(at, n + 1 - at)
+                at, size = n + 1, 0
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.base import stored
+from mixloom.llm.base import in_slices, stored
 from mixloom.llm.words import shingle_hashes, words_of
 
 MIN_MATCH = 5
@@ -162,7 +162,7 @@ def _candidates(docs: DataFrame, bitmap: bytes, bits: int, min_match: int) -> Da
                     stretches.append(" ".join(lowered[d][starts[w] - base : ends[w] - base].decode("utf-8", "replace") for w in k))
                 yield ids[d], _key(texts[d]), np.unique(shingles[own]).view(np.int64).tolist(), "\n".join(stretches)
 
-        for batch in batches:
+        for batch in in_slices(batches, 1):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             at = 0
             while at < len(ids):

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mixloom.llm.base import in_slices
 from mixloom.llm.words import INSIDE, mixed
 
 SAMPLE = 2000
@@ -31,7 +32,7 @@ RATIO = 0.2
 LEAST = 2
 BITS = 21
 HASHES = 3
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
@@ -166,7 +167,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
     chosen = labelled.where(dice < part[F.col("lang")]).select(number[F.col("lang")].alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 1):
             langs = np.array(batch.column("lang").to_pylist())
             texts = batch.column("text").to_pylist()
             for lang in np.unique(langs):
@@ -198,7 +199,7 @@ def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str
     field, names = docs.columns.index("text"), [*docs.columns, lang, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, field):
             langs, scores = decide(batch.column(field).to_pylist(), model)
             columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names)

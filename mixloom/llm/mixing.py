@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.base import count_words, running_positions, stored
+from mixloom.llm.base import count_words, in_slices, running_positions, stored
 from mixloom.llm.words import mixed
 
 WEIGHTS = (3, 1, 2)
@@ -244,7 +244,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, s
     length = names.index("n_chars") if dict(docs.dtypes).get("n_chars") == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, field):
             columns = list(batch.columns)
             texts = []
             for text, take in zip(columns[field].to_pylist(), columns.pop().to_pylist()):

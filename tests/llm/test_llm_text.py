@@ -154,3 +154,15 @@ def test_language_filters_return_all_languages_of_an_ngram():
     n_grams, found = language.counts(["word", "WORD " * 3, "x" * (1 << 21)], model)
     assert n_grams[0] == len(grams) and found[0, 3] == found[0, 69] == n_grams[0] and found[0].sum() == 2 * n_grams[0]
     assert n_grams[2] == (1 << 21) + 3
+
+
+def test_slices_of_batches_keep_all_rows_in_order():
+    import pyarrow as pa
+
+    from mixloom.llm.base import in_slices
+
+    texts = ["ab", None, "", "long" * 50, "é", "x" * 9, None]
+    batches = [pa.record_batch({"n": pa.array(range(k, k + len(t))), "text": pa.array(t, pa.string())}) for k, t in ((0, texts), (7, []), (7, ["z"]))]
+    slices = list(in_slices(iter(batches), 1, most=10))
+    assert [r for s in slices for r in s.to_pylist()] == [r for b in batches for r in b.to_pylist()]
+    assert [s.num_rows for s in slices] == [4, 2, 1, 1]
