@@ -33,10 +33,15 @@ LEAST = 2
 BITS = 21
 HASHES = 3
 STRETCH = 1 << 18
+# Includes numbers such as fractions, which are no letters.
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
+
+
 def _grams(data: bytes) -> np.ndarray:
     """The n-grams of bytes, of which those of no word are blanks."""
     b = np.frombuffer(data, np.uint8)
@@ -130,7 +135,7 @@ def counts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
 def decide(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
     if not model.languages:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    known = [t if t and LETTER.search(t) else "" for t in texts]
+    known = [t if has_letter(t) else "" for t in texts]
     n_grams, found = counts(known, model)
     false = model.false_rates()
     corrected = np.maximum(0, (found - n_grams[:, None] * false) / (1 - false))

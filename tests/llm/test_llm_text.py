@@ -156,6 +156,11 @@ def test_language_filters_return_all_languages_of_an_ngram():
     assert n_grams[2] == (1 << 21) + 3
 
 
+def test_letters_are_no_numbers():
+    given = ["", None, "12 ½ ² Ⅷ _ -", "½ é", "٣", "日", "\u0301", "ª"]
+    assert [language.has_letter(t) for t in given] == [False, False, False, True, False, True, False, True]
+
+
 def test_slices_of_batches_keep_all_rows_in_order():
     import pyarrow as pa
 
