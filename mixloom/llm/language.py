@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,8 @@ def _positions(grams: np.ndarray, bits: int, hashes: int) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """``table``: for each position, 64 languages a word. ``commonest``: for texts of which nothing is known."""
+    """``table``: for each position, as many languages in a word as it has bits. ``commonest``: for texts of which
+    nothing is known."""
 
     languages: list[str]
     table: np.ndarray
@@ -77,13 +79,17 @@ class Model:
     def bits(self) -> int:
         return len(self.table).bit_length() - 1
 
+    @cached_property
     def false_rates(self) -> np.ndarray:
-        rates = []
-        for n in range(len(self.languages)):
-            held = (self.table[:, n // 64] >> np.uint64(n % 64)) & np.uint64(1)
-            rates.append(held.mean() ** self.hashes)
+        rates = [self.holds(self.table, n).mean() ** self.hashes for n in range(len(self.languages))]
         return np.array(rates)
 
+    @staticmethod
+    def holds(masks: np.ndarray, n: int) -> np.ndarray:
+        """The bit of language ``n`` in each row."""
+        wide = 8 * masks.itemsize
+        return (masks[:, n // wide] >> masks.dtype.type(n % wide)) & masks.dtype.type(1)
+
 
 def _parts(texts: list[str]) -> Iterator[tuple[list[int], bytes]]:
     """Batches of texts as one stretch of bytes; very long texts come in several stretches of their own."""
@@ -106,7 +112,6 @@ def counts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """How many n-grams each text has, and how many of them each language may have."""
     n_grams = np.zeros(len(texts), np.int64)
     found = np.zeros((len(texts), len(model.languages)), np.int64)
-    narrow = model.table.astype(np.uint8) if len(model.languages) <= 8 else model.table
     for owners, parts in _parts(texts):
         grams = _grams(b"".join(parts))
         # The n-grams that reach over the end of a part are no text's.
@@ -123,12 +128,12 @@ def counts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
             continue
         masks = None
         for at in _positions(grams, model.bits, model.hashes):
-            masks = narrow[at] if masks is None else masks & narrow[at]
+            masks = model.table[at] if masks is None else masks & model.table[at]
         own = np.array(owners)
         np.add.at(n_grams, own, np.bincount(owner, minlength=len(parts)))
         for n in range(len(model.languages)):
-            bit = (masks[:, n // 64] >> masks.dtype.type(n % 64)) & masks.dtype.type(1)
-            np.add.at(found[:, n], own, np.bincount(owner[bit > 0], minlength=len(parts)))
+            held = model.holds(masks, n) > 0
+            np.add.at(found[:, n], own, np.bincount(owner[held], minlength=len(parts)))
     return n_grams, found
 
 
@@ -137,7 +142,7 @@ def decide(texts: list[str | None], model: Model) -> tuple[list[str], list[float
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
     known = [t if has_letter(t) else "" for t in texts]
     n_grams, found = counts(known, model)
-    false = model.false_rates()
+    false = model.false_rates
     corrected = np.maximum(0, (found - n_grams[:, None] * false) / (1 - false))
     best, total = corrected.argmax(axis=1), corrected.sum(axis=1)
     langs, scores = [], []
@@ -189,13 +194,15 @@ def learn(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
     rated = counted.select("gram", F.struct((F.col("n") * rate[F.col("lang")]).alias("rate"), "lang").alias("of"))
     by_gram = rated.groupBy("gram").agg(F.max("of.rate").alias("most"), F.collect_list("of").alias("of"))
     kept = by_gram.select("gram", F.explode(F.filter("of", lambda x: x["rate"] >= F.col("most") * RATIO)["lang"]).alias("lang"))
-    table = np.zeros((1 << bits, (len(languages) + 63) // 64), np.uint64)
+    word = np.uint8 if len(languages) <= 8 else np.uint64
+    wide = 8 * np.dtype(word).itemsize
+    table = np.zeros((1 << bits, -(-len(languages) // wide)), word)
     got = kept.toArrow()
     counted.unpersist()
     grams = got.column("gram").to_numpy().astype(np.uint32)
     langs = got.column("lang").to_numpy()
     for at in _positions(grams, bits, HASHES):
-        np.bitwise_or.at(table, (at, langs // 64), np.uint64(1) << (langs % 64).astype(np.uint64))
+        np.bitwise_or.at(table, (at, langs // wide), word(1) << (langs % wide).astype(word))
     return Model(languages, table, min(languages, key=lambda lang: (-rows[lang], lang)))
 
 
