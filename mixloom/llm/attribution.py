@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.token_files import _stretches
-from mixloom.llm.tokens import Encoder, spans, token_bytes
+from mixloom.llm.tokens import spans, token_bytes, worker_encoder
 
 
 def sections(fields: list[str]) -> tuple[str, list[tuple[int, int]], np.ndarray]:
@@ -60,6 +59,21 @@ def allocate(first: np.ndarray, end: np.ndarray, bounds: np.ndarray, rule: str =
     return out
 
 
+STRETCH = 1 << 20
+
+
+def _stretches(numbers: list[int], texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts, with their numbers, of some ``STRETCH`` characters at a time."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < STRETCH):
+            size += len(texts[to])
+            to += 1
+        yield numbers[at:to], texts[at:to]
+        at = to
+
+
 def attribute(docs: DataFrame, definition: str, fields: list[str], kind: str = "bytes", rule: str = "most") -> DataFrame:
     """``doc_id, field, section, start, end, n_tokens`` for each section of each row of ``docs``.
 
@@ -69,7 +83,7 @@ def attribute(docs: DataFrame, definition: str, fields: list[str], kind: str = "
         raise ValueError(f"no such rule: {rule}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition, kind)
+        encoder = worker_encoder(definition, kind)
         sizes = token_bytes(encoder.tokenizer)
         for batch in batches:
             columns = [batch.column(n + 1).to_pylist() for n in range(len(fields))]

@@ -6,7 +6,7 @@ greatest id has bits, and each plane is a zstandard frame. Blocks are written as
 ``<path>/blocks``, so that any store Spark writes to will do and a lost task leaves nothing behind, with the documents that reach
 into them; the index under ``<path>/index`` has the first id's global place of every block.
 
-Ids ascend over partitions and within them; rows without one come first, rows with equal ids are ordered by text.
+Ids ascend over partitions and within them; rows without one come first, rows with equal ids are ordered by a hash of the text, then by the text, and spread over partitions.
 A null text is empty, so it has the end id alone. Without documents there are no blocks.
 
 Block: ``MXBP``, version 1, number of planes (a byte each), number of ids, length of each plane (4 bytes each,
@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mixloom.llm.tokens import Encoder
+from mixloom.llm.base import in_slices
+from mixloom.llm.tokens import worker_encoder
 
 BLOCK = 1 << 16
 END = 2
 MAGIC = b"MXBP"
 LEVEL = 3
-STRETCH = 1 << 20
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -63,24 +63,13 @@ DOC = "struct<doc_id:bigint,number:bigint,start:bigint,n:bigint>"
 BLOCKS = f"part int, block int, first long, n_ids int, docs array<{DOC}>, payload binary"
 
 
-def _stretches(ids: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
-    at = 0
-    while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and (to == at or size < STRETCH):
-            size += len(texts[to])
-            to += 1
-        yield ids[at:to], texts[at:to]
-        at = to
-
-
 def write(docs: DataFrame, path: str, definition: str, kind: str = "words", end: int = END, block: int = BLOCK) -> None:
     """Writes ``doc_id, text``; ``definition`` is the tokenizer's JSON."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(definition, kind)
+        encoder = worker_encoder(definition, kind)
         part, number, held, count, first, total, open_ = TaskContext.get().partitionId(), 0, [], 0, 0, 0, []
         doc = pa.list_(pa.struct([(n, pa.int64()) for n in ("doc_id", "number", "start", "n")]))
 
@@ -91,25 +80,25 @@ def write(docs: DataFrame, path: str, definition: str, kind: str = "words", end:
             names = ["part", "block", "first", "n_ids", "docs", "payload"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_ids, own in _stretches(batch.column("doc_id").to_pylist(), texts):
-                for doc_id, ids in zip(doc_ids, encoder.encode(own)):
-                    held += [ids, np.array([end], np.uint32)]
-                    open_.append({"doc_id": doc_id, "number": number, "start": total, "n": len(ids) + 1})
-                    number, total, count = number + 1, total + len(ids) + 1, count + len(ids) + 1
-                if count >= block:
-                    ids = np.concatenate(held)
-                    for k in range(0, count - count % block, block):
-                        yield cut(ids[k : k + block], first)
-                        first += block
-                        open_ = [d for d in open_ if d["start"] + d["n"] > first]
-                    held, count = [ids[count - count % block :]], count % block
+        for batch in in_slices(batches, 1, 1 << 23):
+            flat, lengths = encoder.encode_column(batch.column(1))
+            held.append(np.insert(flat, np.cumsum(lengths), np.uint32(end)).astype(np.uint32))
+            for doc_id, n in zip(batch.column(0).to_pylist(), (lengths + 1).tolist()):
+                open_.append({"doc_id": doc_id, "number": number, "start": total, "n": n})
+                number, total, count = number + 1, total + n, count + n
+            if count >= block:
+                ids = np.concatenate(held)
+                for k in range(0, count - count % block, block):
+                    yield cut(ids[k : k + block], first)
+                    first += block
+                    open_ = [d for d in open_ if d["start"] + d["n"] > first]
+                held, count = [ids[count - count % block :]], count % block
         if count:
             yield cut(np.concatenate(held), first)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = plain.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = plain.withColumn("_h", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").drop("_h")
     ordered.mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks")
     blocks = docs.sparkSession.read.schema(BLOCKS).parquet(f"{path}/blocks").select("part", "block", "first", "n_ids", "docs")
     # One row per partition: those before it in the order of their first document hold the ids before its own.
