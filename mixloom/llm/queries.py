@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, shards, simhash, token_files, urls
+from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, packing, shards, simhash, token_files, urls
 from mixloom.llm.base import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.attribute(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), ["text"])
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = tokenizer("byte_bpe_50k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), definition)
+    return packing.digest_pieces(packing.sequences(packed), packing.id_width(definition))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -93,4 +99,5 @@ QUERIES: dict[str, Query] = {
     "op8_token_id_files": op8_token_id_files,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
