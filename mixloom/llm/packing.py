@@ -29,6 +29,8 @@ from mixloom.llm.tokens import worker_encoder
 
 CAPACITY = 2048
 END = 0
+#: Bytes of text that are encoded at a time.
+SLICE = 1 << 23
 PLAN = "length int, from_rank long, to_rank long, copies long, place int, first_sequence long"
 
 
@@ -93,16 +95,18 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, kind: str = "bytes", end: int = END) -> DataFrame:
     """``doc_id, piece, start, length, ids``, and where each was made: ``part``, and ``rank`` among the part's pieces of its length.
 
-    ``ids`` are little-endian unsigned numbers, of two bytes where all ids fit into them, else of four.
+    ``ids`` are zstandard frames, see ``unpack_ids``: they are moved twice.
     """
     width = id_width(definition, end)
     schema = "doc_id long, piece int, start long, length int, part int, rank long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
         from pyspark import TaskContext
 
+        compress = zstandard.ZstdCompressor(level=3).compress
         encoder, part, made = worker_encoder(definition, kind), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in in_slices(batches, 1):
+        for batch in in_slices(batches, 1, SLICE):
             flat, counts = encoder.encode_column(batch.column(1))
             flat = np.insert(flat, np.cumsum(counts), np.uint32(end)).astype(f"<u{width}")
             counts = counts + 1
@@ -117,8 +121,8 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, kind: str
             rank = np.empty(len(length), np.int64)
             rank[order] = np.arange(len(length)) - (np.cumsum(alike) - alike)[length[order]] + made[length[order]]
             made += alike
-            bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * width
-            ids = pa.BinaryArray.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+            bounds = np.concatenate([[0], np.cumsum(length)]).tolist()
+            ids = pa.array([compress(flat[a:b].data) for a, b in zip(bounds, bounds[1:])], pa.binary())
             columns = [
                 batch.column(0).take(pa.array(doc)),
                 pa.array(piece, pa.int32()),
@@ -135,11 +139,18 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, kind: str
 
 
 def id_width(definition: str, end: int = END) -> int:
+    """Bytes of an id: two where all ids fit into them, else four."""
     from tokenizers import Tokenizer
 
     return 2 if max(Tokenizer.from_str(definition).get_vocab_size(with_added_tokens=True) - 1, end) < 1 << 16 else 4
 
 
+def unpack_ids(frame: bytes, width: int) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(frame), f"<u{width}")
+
+
 def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, kind: str = "bytes", end: int = END) -> DataFrame:
     """``doc_id, piece, start, length, ids, sequence_id, offset`` of every piece of ``doc_id, text``.
 
@@ -178,47 +189,40 @@ def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, kind: str =
     )
 
 
-def sequences(packed: DataFrame) -> DataFrame:
-    """``sequence_id, ids`` and the ``pieces`` (doc_id, piece, start, length, offset) in them, one row per sequence.
+def sequences(packed: DataFrame, width: int, most: int = 1000) -> DataFrame:
+    """``sequence_id, ids``, little-endian unsigned, and the ``pieces`` in it (doc_id, piece, start, length, offset, ids_crc32).
 
-    The pieces of a sequence, whose number is bounded by its capacity, are brought together and follow each other.
+    One row per sequence: its pieces, whose number is bounded by the capacity, are brought together. Their checksums, of
+    ids of four bytes, are taken from the built sequence at their offsets.
     """
     place = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
     own = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(place)).alias("own"))
-    fields = [("offset", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]
+    names = ["offset", "doc_id", "piece", "start", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        for batch in (b.slice(at, most) for b in batches for at in range(0, b.num_rows, most)):
             lists = batch.column(1)
-            rows, bounds = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            data = rows.field("ids")
-            starts = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1][bounds] if len(data) else bounds
-            ids = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(starts.astype(np.int32)), data.buffers()[2]])
-            inner = pa.StructArray.from_arrays([rows.field(name) for name, _ in fields], [name for name, _ in fields])
-            kept = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), inner)
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, kept], ["sequence_id", "ids", "pieces"])
-
-    kind = "array<struct<offset:long,doc_id:long,piece:int,start:long,length:long>>"
+            rows, counts = lists.flatten(), lists.value_lengths().to_numpy()
+            frames, bounds = rows.field("ids"), np.concatenate([[0], np.cumsum(counts)])
+            ids, crcs = [], []
+            offset, length = rows.field("offset").to_numpy(), rows.field("length").to_numpy()
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                built = b"".join([decompress(frames[n].as_buffer()) for n in range(a, b)])
+                wide = np.frombuffer(built, f"<u{width}").astype("<u4")
+                crcs += [zlib.crc32(wide[at : at + n]) for at, n in zip(offset[a:b].tolist(), length[a:b].tolist())]
+                ids.append(built)
+            inner = [*(rows.field(name) for name in names), pa.array(crcs, pa.int64())]
+            pieces = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(inner, [*names, "ids_crc32"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pieces], ["sequence_id", "ids", "pieces"])
+
+    kind = "array<struct<offset:long,doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
     return own.mapInArrow(run, f"sequence_id long, ids binary, pieces {kind}")
 
 
-def digest_pieces(built: DataFrame, width: int) -> DataFrame:
-    """One row per piece of built sequences, with the checksum of its ids as they stand there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            rows, owner = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            offset, length = rows.field("offset").to_numpy(), rows.field("length").to_numpy()
-            crcs, last, ids = [], None, None
-            for n, at, size in zip(owner.tolist(), offset.tolist(), length.tolist()):
-                if n != last:
-                    last, ids = n, np.frombuffer(batch.column(1)[n].as_buffer(), f"<u{width}").astype("<u4")
-                crcs.append(zlib.crc32(ids[at : at + size]))
-            columns = [rows.field(c) for c in ("doc_id", "piece", "start", "length")]
-            columns += [pa.array(crcs, pa.int64()), batch.column(0).take(pa.array(owner)), rows.field("offset")]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return built.mapInArrow(run, schema)
+def digest_pieces(built: DataFrame) -> DataFrame:
+    """One row per piece of built sequences."""
+    rows = built.select("sequence_id", F.inline("pieces"))
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

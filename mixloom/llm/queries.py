@@ -85,7 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = tokenizer("byte_bpe_50k.json")
     packed = packing.pack(table(spark, sf_dir, "documents"), definition)
-    return packing.digest_pieces(packing.sequences(packed), packing.id_width(definition))
+    return packing.digest_pieces(packing.sequences(packed, packing.id_width(definition)))
 
 
 QUERIES: dict[str, Query] = {

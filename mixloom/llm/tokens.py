@@ -53,18 +53,18 @@ class Encoder:
     def __init__(self, definition: str, kind: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._tokenizer = Tokenizer.from_str(definition)
+        self._tokenizer.no_padding()
+        self._tokenizer.no_truncation()
+        self.special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.words = kind == "words"
         self.cut = re.compile(PIECES[kind]).findall
-        # The same tokenizer for pieces that are cut already and stand between zero characters.
-        self.by_piece = Tokenizer.from_str(definition)
-        self.by_piece.normalizer = normalizers.Sequence([])
         levels = [pre_tokenizers.Split("\x00", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        self.by_piece.pre_tokenizer = pre_tokenizers.Sequence(levels)
-        self.sizes = token_bytes(self.tokenizer)
+        # How whole texts are prepared, and how pieces that are cut already and stand between zero characters: one
+        # tokenizer serves both, as its tables are large.
+        self.whole = (self._tokenizer.normalizer or normalizers.Sequence([]), self._tokenizer.pre_tokenizer)
+        self.by_piece = (normalizers.Sequence([]), pre_tokenizers.Sequence(levels))
+        self.sizes = token_bytes(self._tokenizer)
         self.space = _flags(*_SPACES)
         # Controls, and first bytes of characters beyond Latin-1.
         self.strange = _flags(*set(range(32)) - set(_SPACES), 127, *range(0xC4, 256))
@@ -72,6 +72,15 @@ class Encoder:
         self.known = pa.array([], pa.string())
         self.flat, self.lengths, self.uses = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32)
 
+    def _prepared(self, way: tuple):
+        self._tokenizer.normalizer, self._tokenizer.pre_tokenizer = way
+        return self._tokenizer
+
+    @property
+    def tokenizer(self):
+        """The tokenizer for whole texts."""
+        return self._prepared(self.whole)
+
     def plain(self, text: str) -> bool:
         return _ODD.search(text) is None and not any(s in text for s in self.special)
 
@@ -99,10 +108,10 @@ class Encoder:
 
     def _encoded(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of units, and how many each has: that many as make up its bytes without what stands between pieces."""
-        flat, lengths = [], []
+        flat, lengths, tokenizer = [], [], self._prepared(self.by_piece)
         for at in range(0, len(units), 1000):
             cut = ["\x00".join(self.cut(u)) for u in units[at : at + 1000]]
-            (encoded,) = self.by_piece.encode_batch_fast(["\x00".join(cut)], add_special_tokens=False)
+            (encoded,) = tokenizer.encode_batch_fast(["\x00".join(cut)], add_special_tokens=False)
             ids = np.array(encoded.ids, np.uint32)
             ends = np.cumsum([len(c.encode()) - c.count("\x00") for c in cut])
             upto = np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right")

@@ -110,8 +110,9 @@ def test_packed_pieces_hold_the_tokenizers_ids(spark, frame, capacity):
         bounds = [0, *range(first, len(ids) + 1, capacity)]
         for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
             expected[(doc_id, piece, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))] += 1
-    built = packing.sequences(packing.pack(df, definition(), capacity)).collect()
-    got = packing.digest_pieces(spark.createDataFrame(built), 2).collect()
+    sequences = packing.sequences(packing.pack(df, definition(), capacity), packing.id_width(definition()), most=7)
+    built = sequences.collect()
+    got = packing.digest_pieces(sequences).collect()
     assert Counter(tuple(r)[:5] for r in got) == expected
     assert len({r.sequence_id for r in built}) == len(built)
     for r in built:
@@ -126,7 +127,7 @@ def test_packed_pieces_hold_the_tokenizers_ids(spark, frame, capacity):
 
 def test_nothing_to_pack(frame):
     empty = frame("doc_id long, text string")
-    assert packing.digest_pieces(packing.sequences(packing.pack(empty, definition())), 2).collect() == []
+    assert packing.digest_pieces(packing.sequences(packing.pack(empty, definition()), 2)).collect() == []
 
 
 def test_one_length_in_many_parts(spark):
