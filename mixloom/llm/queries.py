@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, packing, shards, simhash, token_files, urls
+from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, negatives, packing, shards, simhash, token_files, urls
 from mixloom.llm.base import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,13 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest_pieces(packing.sequences(packed, packing.id_width(definition)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is taken for the next one, so that labels and neighbours disagree."""
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -100,4 +107,5 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_hard_negatives": op12_hard_negatives,
 }

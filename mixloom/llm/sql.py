@@ -95,8 +95,32 @@ WITH whole AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+NEGATIVES = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+           CAST(list_inner_product(a.v, d.v) AS BIGINT) AS score
+    FROM whole a JOIN whole d ON a.vec_id <> d.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+     AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10"""
+
 QUERIES = {
     "op1_chat_formatting": CHATS,
     "op3_url_filters": url_filter(),
     "op5_exact_top_k": NEAREST,
+    "op12_hard_negatives": NEGATIVES,
 }

@@ -1,0 +1,89 @@
+"""Hard negatives: the search against all scores, the operator against all pairs."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mixloom.llm import negatives
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_search_finds_the_best_of_each_window(seed):
+    rng = np.random.default_rng(seed)
+    rows, width = int(rng.choice([1, 5, 300])), int(rng.choice([1, 3, 16]))
+    vectors = rng.integers(-4, 5, (rows, width)).astype(np.float64) * (1 if seed % 2 else 100)
+    ids = rng.integers(0, rows, rows)
+    at = negatives.shard(ids, rng.integers(0, 3, rows), vectors)
+    anchor = rng.integers(-3, 4, width).astype(np.float64) * (seed % 5 > 0)
+    allowed = rng.random(rows) < 0.7
+    low, high = np.array([negatives.LOW, -50, 2]), np.array([2**63 - 1, 40, 30])
+    best = negatives.Best(low, high, 4)
+    scored = negatives.search(at, anchor, allowed, best, step=2)
+    assert scored <= rows
+    scores = (at.vectors @ anchor).astype(np.int64)
+    for (found, points), a, b in zip(best.found, low, high):
+        fits = [n for n in range(rows) if allowed[n] and a <= scores[n] <= b]
+        expected = sorted(fits, key=lambda n: (-scores[n], n))[:4]
+        assert found.tolist() == expected and points.tolist() == scores[expected].tolist()
+
+
+def test_search_stops_before_all_rows_are_scored():
+    rng = np.random.default_rng(1)
+    vectors = np.floor(1000 * rng.normal(size=(8000, 4)))
+    at = negatives.shard(np.arange(8000), np.zeros(8000, np.int64), vectors)
+    best = negatives.Best(np.array([negatives.LOW]), np.array([2**63 - 1]), 5)
+    assert negatives.search(at, vectors[7], np.ones(8000, bool), best) < 4000
+    assert set(best.found[0][0]) == set(np.argsort(-(vectors @ vectors[7]))[:5])
+
+
+def brute(rows, anchors, least=30, most=90):
+    good, out = [], []
+    for vec_id, label, v in rows:
+        if vec_id is None or label is None or v is None or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        good.append((vec_id, label, [min(max(int(np.floor(256 * float(x))), -(2**24)), 2**24) for x in v]))
+    first = {}
+    for vec_id, label, v in sorted(good):
+        if anchors(vec_id):
+            first.setdefault(vec_id, (label, v))
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    for anchor, (label, v) in first.items():
+        others = sorted((-dot(v, w), i, m) for i, m, w in good if i != anchor)
+        positives = [(i, -s) for s, i, m in others if m == label][:5]
+        for place, (positive, p) in enumerate(positives):
+            fits = [(i, -s) for s, i, m in others if m != label and least * p <= -100 * s <= most * p][:10]
+            out += [(anchor, positive, n + 1, i, p, s, place) for n, (i, s) in enumerate(fits)]
+    return sorted(row[:6] for row in out)
+
+
+def test_hard_negatives_are_those_of_all_pairs(frame):
+    rng = random.Random(4)
+    rows = [(n, rng.randrange(4), [rng.gauss(0.2, 0.5) for _ in range(6)]) for n in range(260)]
+    rows += [(n + 300, rng.randrange(4), [round(rng.uniform(-1, 1)) * 0.5 for _ in range(rng.choice([0, 2, 6, 7]))]) for n in range(60)]
+    rows += [(None, 1, [1.0]), (500, None, [1.0]), (501, 1, None), (502, 1, [1.0, None]), (503, 1, [float("nan")])]
+    rows += [(504, 2, [float("inf")]), (510, 2, [0.0, 0.0]), (520, 3, [-3.0]), (521, 1, [1e300, -1e300]), (530, 1, [])]
+    rows += [rows[20]] * 3 + [(20, 3, [0.5, 0.5])] + [rows[31]] * 40
+    df = frame("vec_id long, label int, embedding array<double>, id long, score long, shard int, rank int", *[(*r, 1, 2, 3, 4) for r in rows])
+    for shard_rows, block_rows in ((8192, 2048), (40, 9)):
+        found = negatives.hard_negatives(df, F.col("vec_id") % 10 == 0, shard_rows=shard_rows, block_rows=block_rows)
+        assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+        got = sorted(tuple(r) for r in found.collect())
+        # A repeated positive has the same negatives each time.
+        assert got == brute(rows, lambda i: i % 10 == 0) and got
+    assert negatives.hard_negatives(df.where("vec_id < 0"), F.col("vec_id") % 10 == 0).count() == 0
+    assert negatives.hard_negatives(df, F.lit(False)).count() == 0
+    with pytest.raises(ValueError):
+        negatives.hard_negatives(df, F.lit(True), least=50, most=40)
+
+
+def test_repeated_rows_are_dealt_to_all_shards(spark):
+    df = spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, 1, id) AS vec_id", "1 AS label", "array(0.5D, 0.25D) AS embedding")
+    rows = df.select(F.col("vec_id").alias("id"), F.col("label").cast("long"), F.col("embedding").alias("v"))
+    number = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(10))
+    sizes = defaultdict(int)
+    for r in negatives._packed(rows.select(number.alias("_group"), "*"), "shard").collect():
+        sizes[r.shard] = len(r.ids) // 8
+    assert len(sizes) == 10 and max(sizes.values()) < 400
