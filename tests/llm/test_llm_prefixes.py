@@ -95,7 +95,7 @@ def test_trie_of_plain_conversations(frame):
     rows = [(n, t, "user", x) for n in range(30) for t, x in enumerate(["same", "start", "of all", str(n % 4), str(n)][: 2 + n % 4])]
     df = frame(SCHEMA, *[(*r, 1, 2, 3, 4) for r in rows])
     placed = prefixes.turns(df)
-    found = prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct())
+    found = prefixes.trie(*prefixes.whole(placed))
     assert collected(found) == brute_trie(in_order(rows))
 
 
@@ -104,14 +104,14 @@ def test_long_conversations_and_texts(frame):
     rows += [(9, 0, "user", "x" * 300_000), (10, 0, "user", "x" * 300_000)]
     df = frame(SCHEMA, *[(*r, 1, 2, 3, 4) for r in rows])
     placed = prefixes.turns(df)
-    found = prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct())
+    found = prefixes.trie(*prefixes.whole(placed))
     assert collected(found) == brute_trie(in_order(rows))
 
 
 def test_no_conversations(frame):
     df = frame("conv_id long, turn long, role string, text string", (None, 1, "user", "nobody"))
     placed = prefixes.turns(df)
-    assert prefixes.trie(placed.drop("part"), placed.select("conv_id").distinct()).collect() == []
+    assert prefixes.trie(*prefixes.whole(placed)).collect() == []
 
 
 def test_one_conversation_with_a_third_of_all_turns(spark):
@@ -119,7 +119,7 @@ def test_one_conversation_with_a_third_of_all_turns(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         placed = prefixes.turns(df)
-        parts = placed.where("conv_id = 1").groupBy("part").count().collect()
+        parts = placed.where("conv_id = 1").groupBy(F.input_file_name()).count().collect()
         assert len(parts) > 1
         assert [r.place for r in placed.where("conv_id = 1").orderBy("place").collect()] == list(range(1, 1002))
     finally:
