@@ -152,21 +152,19 @@ class Inputs:
         """Some 200 parts per user, the same ones for the users of one bucket, in an order of the user's own.
 
         Runs of as many parts as there are artists are dealt to the buckets in turn, so each part is in one whatever
-        its key. Users are dealt to tasks first, because the table may be one file; their lists are then
-        gathered where they are.
+        its key. A bucket's parts, which are about as many as a list has, are one array that its users' rows join. Then users are dealt to tasks, because the table may be one file; with their arrays they
+        are too large for AQE to put them into fewer tasks than there are cores. Each row orders its own array.
         """
         buckets = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / LIST_SIZE))
         n_buckets = self.table("part").agg(buckets).scalar()
-        parts = self.table("part").select("p_partkey", (whole("p_partkey", ARTISTS) % n_buckets).alias("bucket"))
-        customer = self.table("customer").select(F.col("c_custkey").alias("user")).repartition("user")
-        pairs = customer.withColumn("bucket", F.col("user") % n_buckets).join(parts, "bucket")
-        keyed = pairs.select(
-            "user",
-            ((F.col("p_partkey") + 1) * (F.col("user") + 17) % 100003).alias("order"),
-            text("p_partkey").alias("trackGroup"),
-        )
-        lists = ordered_values("trackGroup", ["order", "trackGroup"])
-        return keyed.groupBy("user").agg(lists.alias("recommendations"))
+        bucket = (whole("p_partkey", ARTISTS) % n_buckets).alias("bucket")
+        parts = self.table("part").groupBy(bucket).agg(F.collect_list("p_partkey").alias("parts"))
+        customer = self.table("customer").select(F.col("c_custkey").alias("user"))
+        dealt = customer.withColumn("bucket", F.col("user") % n_buckets).join(parts, "bucket").repartition("user")
+        order = lambda part: ((part + 1) * (F.col("user") + 17) % 100003).alias("order")
+        entries = F.transform("parts", lambda part: F.struct(order(part), text(part).alias("trackGroup")))
+        lists = F.transform(F.sort_array(entries), lambda entry: entry["trackGroup"])
+        return dealt.select("user", lists.alias("recommendations"))
 
     @cached_property
     def lines(self) -> DataFrame:

@@ -124,7 +124,7 @@ def filter_heard_titles(i: Inputs) -> DataFrame:
 
 def filter_heard_albums(i: Inputs) -> DataFrame:
     albums = i.tracks.select("trackGroup", "masterBundleId").distinct()
-    on_album = with_artists(i).join(albums, "trackGroup")
+    on_album = lookup(with_artists(i), albums, "trackGroup")
     return on_album.transform(exclude.filter_heard_albums(i.album_history, 2))
 
 
