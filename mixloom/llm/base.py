@@ -36,6 +36,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of ``df`` has, in any letter case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def one_of_each(df: DataFrame, keys: list[Column], repeated: DataFrame) -> DataFrame:
+    """``df`` with one row for each of the keys in ``repeated``, that several rows have; all other rows are kept as they are.
+
+    Of rows with one key the one with the least hash stays. They are reduced before they are shuffled, and nothing is where
+    no key is repeated.
+    """
+    if repeated.isEmpty():
+        return df
+    own = unused(df, *[f"_own{n}" for n in range(len(keys))], *[f"_of{n}" for n in range(len(keys))], "_row")
+    own, of, row = own[: len(keys)], own[len(keys) : -1], own[-1]
+    keyed, many = df.withColumns(dict(zip(own, keys))), repeated.toDF(*of)
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(own, of)]
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+    again = keyed.join(many, same, "left_semi").groupBy(*own).agg(F.min_by(F.struct(*columns), order).alias(row))
+    return keyed.join(many, same, "left_anti").select(*columns).unionByName(again.select(f"{row}.*"))
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], field: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The rows in order, in slices of some ``most`` bytes of the text in column ``field``, at least one row each.
 

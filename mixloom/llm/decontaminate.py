@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.base import in_slices, stored
+from mixloom.llm.base import in_slices, stored, unused
 from mixloom.llm.words import shingle_hashes, words_of
 
 MIN_MATCH = 5
@@ -257,5 +257,6 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` whose text no item contaminates."""
     found, _ = contaminated_texts(docs, benchmark, min_match, coverage)
-    texts = found.select(F.col("text_key").alias("_text_key")).distinct()
-    return docs.join(texts, F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_text_key"), "left_anti")
+    (key,) = unused(docs, "_text_key")
+    texts = found.select(F.col("text_key").alias(key)).distinct()
+    return docs.join(texts, F.sha2(F.coalesce("text", F.lit("")), 256) == F.col(key), "left_anti")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mixloom.llm.base import in_slices
+from mixloom.llm.base import in_slices, unused
 from mixloom.llm.words import INSIDE, mixed
 
 SAMPLE = 2000
@@ -228,5 +228,6 @@ def predict(docs: DataFrame) -> DataFrame:
 
 def in_known_language(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose language can't be told: no text, or no letters."""
-    found = identify(docs, learn(docs), "_lang_pred", "_score")
-    return found.where(F.col("_lang_pred") != UNKNOWN).drop("_lang_pred", "_score")
+    lang, score = unused(docs, "_lang_pred", "_score")
+    found = identify(docs, learn(docs), lang, score)
+    return found.where(F.col(lang) != UNKNOWN).drop(lang, score)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.base import count_words, in_slices, running_positions, stored
+from mixloom.llm.base import count_words, in_slices, running_positions, stored, one_of_each, unused
 from mixloom.llm.words import mixed
 
 WEIGHTS = (3, 1, 2)
@@ -162,14 +162,21 @@ def _pieces(placed: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _identity() -> Column:
+    """Rows with one value have equal id, source and text."""
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":")]
+    source = F.col("source").cast("string")
+    parts += [F.coalesce(F.length(source).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(source, F.lit(""))]
+    return F.sha2(F.concat(*parts, F.coalesce("text", F.lit(""))), 256)
+
+
 def _sized(docs: DataFrame) -> DataFrame:
-    identity = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))
     return stored(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             count_words().alias("size"),
-            F.sha2(identity, 256).alias("key"),
+            _identity().alias("key"),
         ),
         "sized",
     )
@@ -224,10 +231,10 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, s
     """``docs`` as the mix has them, in the same columns: a row for each pass that takes words of a document.
 
     Its text has the words that the pass takes, all of it unchanged where that is the whole document; a long
-    column ``n_chars`` is counted anew. Rows with equal id, text and source count once.
+    column ``n_chars`` is counted anew. Rows with equal id, text and source count once: one of them is taken.
     """
-    sized = _sized(docs)
-    sized = sized.groupBy("key", "doc_id", "source", "size").agg(F.lit(1).alias("_")).drop("_")
+    sized = _sized(docs).groupBy("key", "doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
+    sized = stored(sized, "different")
     sources = source_table(sized)
     if not sources:
         return docs
@@ -235,10 +242,10 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, s
     spans = held.groupBy("key", "pass", "size").agg(
         F.sort_array(F.collect_list(F.struct(F.col("from_word").alias("at"), F.col("n")))).alias("spans")
     )
-    spans = spans.select(F.col("key").alias("_key"), F.struct("size", "spans").alias("_take"))
-    identity = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))
-    once = docs.withColumn("_mine", F.sha2(identity, 256)).join(spans, F.col("_mine") == F.col("_key"))
-    once = once.drop("_key", "_mine")
+    once = one_of_each(docs, [_identity()], sized.where("copies > 1").select("key"))
+    mine, key, take = unused(docs, "_mine", "_key", "_take")
+    spans = spans.select(F.col("key").alias(key), F.struct("size", "spans").alias(take))
+    once = once.withColumn(mine, _identity()).join(spans, F.col(mine) == F.col(key)).drop(mine, key)
     names = docs.columns
     field = names.index("text")
     length = names.index("n_chars") if dict(docs.dtypes).get("n_chars") == "bigint" else None

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.llm.base import stored
+from mixloom.llm.base import stored, one_of_each, unused
 from mixloom.llm.components import components
 
 SHINGLE = 4
@@ -213,10 +213,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = MAX_BI
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, limit: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one of each component: the one with the smallest id, then text key."""
-    found = near_duplicates(docs, shingle, limit)
-    firsts = found.groupBy("component_id", "first_key").agg(F.lit(1).alias("_one"))
-    firsts = firsts.select(F.col("component_id").alias("_id"), F.col("first_key").alias("_key"))
-    key = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & key.eqNullSafe(F.col("_key"))
-    kept = docs.join(firsts, same, "left_semi")
-    return kept.withColumn("_k", key).dropDuplicates(["doc_id", "_k"]).drop("_k")
+    found = stored(near_duplicates(docs, shingle, limit), "near-duplicates")
+    one, two = unused(docs, "_id", "_key")
+    firsts = found.select(F.col("component_id").alias(one), F.col("first_key").alias(two)).distinct()
+    own = [F.col("doc_id").cast("long"), F.when(F.col("text").isNotNull(), F.xxhash64("text"))]
+    kept = docs.join(firsts, own[0].eqNullSafe(F.col(one)) & own[1].eqNullSafe(F.col(two)), "left_semi")
+    repeated = found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    return one_of_each(kept, own, repeated)
