@@ -9,6 +9,7 @@ from mixloom.plans.publish import (
     list_quality_report,
     mix_quality_report,
     publish_daily,
+    publish_keyed,
     publish_mixes,
     publish_observed,
     publish_recommendations,
@@ -27,6 +28,7 @@ __all__ = [
     "mix_quality_report",
     "observed_tracks",
     "publish_daily",
+    "publish_keyed",
     "publish_mixes",
     "publish_observed",
     "publish_recommendations",

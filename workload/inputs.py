@@ -4,7 +4,9 @@ Parts act as track groups, ``p_partkey % 40`` as artists, customers as users, or
 and the events' numbers as sequence items. ``workload.sql`` states the same tables in SQL.
 """
 
+import tempfile
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from mixloom.operators.exclude import filter_heard
 from mixloom.operators.rank import top_n
 from mixloom.operators.shape import explode_recommendations
 from mixloom.plans import DiscoverySettings, DiscoveryTables, observed_tracks
+from mixloom.sources.keyed import KeyedTable
 
 # The last order date of the data.
 AS_OF = "2001-08-01"
@@ -37,6 +40,12 @@ def whole(column: Column | str, by: int) -> Column:
     return F.floor((F.col(column) if isinstance(column, str) else column) / by).cast("bigint")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of ``spark.checkpoint.dir``; a temporary one, for tests, only where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="workload-")
+    return f"{folder.rstrip('/')}/{name}-{uuid4().hex}"
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -240,6 +249,23 @@ class Inputs:
         )
         return self.mixes.unionByName(earlier)
 
+    @cached_property
+    def mix_table(self) -> KeyedTable:
+        """Mixes by user in four versions: all of the week before, two thirds of this week's, corrections and users that left, and
+        half of those coming back."""
+        path = scratch(self.spark, "mixes")
+        self.mixes.write.parquet(path)
+        mixes = self.spark.read.schema(self.mixes.schema).parquet(path)
+        user = F.col("user")
+        earlier = {"tracks": F.reverse("tracks"), "atDate": F.date_sub(F.lit(AS_OF).cast("date"), 7).cast("string")}
+        table = KeyedTable(self.spark, scratch(self.spark, "mix-table"), "user", buckets=16)
+        table.commit(mixes.withColumns(earlier))
+        table.commit(mixes.where(user % 3 != 0))
+        corrected = mixes.where((user % 10 == 0) & (user % 7 != 3)).withColumn("tracks", F.slice("tracks", 1, 40))
+        table.commit(corrected, mixes.where(user % 7 == 3).select("user"))
+        table.commit(mixes.where(user % 14 == 3))
+        return table
+
     @cached_property
     def observed_mixes(self) -> DataFrame:
         """Mixes that a third of the users opened, some of them twice."""

@@ -206,6 +206,15 @@ def quality(i: Inputs) -> DataFrame:
     return mix_quality_report(i.mixes, 72, 79)
 
 
+def compacted_mixes(i: Inputs) -> DataFrame:
+    """The table after compaction with one more commit, of which the older versions are gone."""
+    table = i.mix_table
+    table.compact()
+    table.commit(table.read().where("user % 5 = 1").withColumn("tracks", F.reverse("tracks")))
+    table.expire()
+    return listed(table.read())
+
+
 Query = Callable[[Inputs], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -256,6 +265,10 @@ QUERIES: dict[str, Query] = {
     "daily_mix": lambda i: listed(daily_mix(i.mixes, DAILY_DATE, RUN_AT)),
     "discovery_mix": lambda i: listed(discovery_mix(i.discovery, AS_OF, SETTINGS)),
     "mix_quality_report": quality,
+    "keyed_mixes": lambda i: listed(i.mix_table.read()),
+    "keyed_mixes_of_version": lambda i: listed(i.mix_table.read(2)),
+    "keyed_mixes_compacted": compacted_mixes,
+    "keyed_mix_changes": lambda i: i.mix_table.changes(1),
     "current_mixes": lambda i: listed(i.mixes_of_two_weeks.transform(current_mixes(AS_OF))),
 }
 

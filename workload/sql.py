@@ -333,6 +333,31 @@ QUERIES = {
 }
 
 
+WEEK = "SELECT user, tracks, mixId, '2001-08-01' AS atDate FROM mixes"
+BEFORE = "SELECT user, list_reverse(tracks) AS tracks, mixId, '2001-07-25' AS atDate FROM mixes"
+# The commits one after the other: the last of each user counts.
+REPLAYED = f"""
+    SELECT * FROM (
+        SELECT *, 1 AS version, false AS gone FROM ({BEFORE})
+        UNION ALL SELECT *, 2, false FROM ({WEEK}) WHERE user % 3 <> 0
+        UNION ALL SELECT user, tracks[1:40], mixId, atDate, 3, false FROM ({WEEK}) WHERE user % 10 = 0 AND user % 7 <> 3
+        UNION ALL SELECT user, NULL, NULL, NULL, 3, true FROM mixes WHERE user % 7 = 3
+        UNION ALL SELECT *, 4, false FROM ({WEEK}) WHERE user % 14 = 3)
+    WHERE version <= {{until}} QUALIFY row_number() OVER (PARTITION BY user ORDER BY version DESC) = 1"""
+SHOWN = "user, array_to_string(tracks, ',') AS tracks, mixId, atDate"
+QUERIES |= {
+    "keyed_mixes": f"SELECT {SHOWN} FROM ({REPLAYED.format(until=4)}) WHERE NOT gone",
+    "keyed_mixes_of_version": f"SELECT {SHOWN} FROM ({REPLAYED.format(until=2)}) WHERE NOT gone",
+    "keyed_mixes_compacted": f"""
+        SELECT user, array_to_string(CASE WHEN user % 5 = 1 THEN list_reverse(tracks) ELSE tracks END, ',') AS tracks,
+               mixId, atDate
+        FROM ({REPLAYED.format(until=4)}) WHERE NOT gone""",
+    "keyed_mix_changes": f"""
+        SELECT user, CASE WHEN gone THEN 'delete' ELSE 'update' END AS change
+        FROM ({REPLAYED.format(until=4)}) WHERE version > 1""",
+}
+
+
 def statement(name: str) -> str:
     """The query with the steps it needs, each after the steps it names."""
     needed: dict[str, str] = {}
