@@ -3,6 +3,7 @@
 from mixloom.plans.current import current_mixes
 from mixloom.plans.daily import daily_mix
 from mixloom.plans.discovery import DiscoverySettings, DiscoveryTables, discovery_mix
+from mixloom.plans.incremental import changed_users, rerank
 from mixloom.plans.observed import observed_tracks
 from mixloom.plans.publish import (
     MixCheckError,
@@ -21,6 +22,7 @@ __all__ = [
     "DiscoverySettings",
     "DiscoveryTables",
     "MixCheckError",
+    "changed_users",
     "current_mixes",
     "daily_mix",
     "discovery_mix",
@@ -32,6 +34,7 @@ __all__ = [
     "publish_mixes",
     "publish_observed",
     "publish_recommendations",
+    "rerank",
     "row_quality_report",
     "score_sequences",
 ]

@@ -1,0 +1,108 @@
+"""Incremental runs against full ones."""
+
+import random
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from mixloom.plans import DiscoverySettings, DiscoveryTables, changed_users, discovery_mix, rerank
+from mixloom.plans.incremental import changed_keys, of_users
+from mixloom.sources.tables import SCHEMAS
+
+SETTINGS = DiscoverySettings(mix_size=6, min_mix_size=1)
+THEN, NOW = "2022-04-04", "2022-04-11"
+TABLES = [
+    *["recommendations", "users", "tracks", "track_groups", "blacklist", "compounds", "observed_tracks", "track_history"],
+    *["favourite_tracks", "artist_history", "favourite_artists", "clusters"],
+]
+
+
+def make(rng):
+    """Rows of every table; 24 users, 30 tracks, 9 artists, of which 7 and 8 are compounds."""
+    day = lambda: datetime(rng.choice([2021, 2022]), rng.randint(1, 4), rng.randint(1, 28))
+    user, track, artist = (lambda n=n: rng.randrange(n) for n in (24, 30, 9))
+    country = lambda: rng.choice(["NO", "SE"])
+    rows = {
+        "recommendations": [(u, [str(t) for t in rng.sample(range(30), 14)]) for u in range(24)],
+        "users": [(u, country()) for u in range(24)],
+        "tracks": [(100 + t, str(t), f"Song {t % 19}", [t % 9]) for t in range(30)],
+        "track_groups": [(str(t), rng.choice([["NO"], ["SE", "NO"], ["NO", "SE"]])) for t in range(30)],
+        "blacklist": [(str(user()), rng.choice(["TRACK", "ARTIST"]), rng.choice([str(artist()), "bad"])) for _ in range(14)],
+        "compounds": [(7, 1, 1, True), (7, 2, 2, True), (8, 3, 1, True)],
+        "observed_tracks": [(user(), str(track())) for _ in range(12)],
+        "track_history": [(user(), str(track()), f"song {rng.randrange(19)}", rng.randint(1, 3), day()) for _ in range(40)],
+        "favourite_tracks": [(user(), str(track())) for _ in range(8)],
+        "artist_history": [(user(), artist(), rng.randint(1, 4), day()) for _ in range(20)],
+        "favourite_artists": [(user(), artist()) for _ in range(8)],
+        "clusters": [(a, a % 3) for a in range(9)],
+    }
+    return rows
+
+
+def other(rng, table, rows):
+    """The table a week earlier: one row gone, one twice, or one of another draw."""
+    again = make(rng)[table]
+    out, at = list(rows), rng.randrange(len(rows))
+    if table in ("recommendations", "users", "tracks", "track_groups", "clusters"):
+        out[at] = (rows[at][0], *again[rng.randrange(len(again))][1:]) if table != "tracks" else (*rows[at][:2], "Renamed", rows[at][3])
+    elif table == "compounds":
+        out[at] = (8, 4, 2, False)
+    else:
+        out = rng.choice([out[:at] + out[at + 1 :], [*out, out[at]], out[:at] + [again[0]] + out[at + 1 :]])
+    return out
+
+
+def mixes(df):
+    return sorted((r.user, tuple(r.tracks), r.mixId, r.atDate) for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    "seed, altered",
+    [
+        (1, TABLES),
+        (2, []),
+        (3, ["recommendations", "blacklist"]),
+        (4, ["users", "tracks"]),
+        (5, ["track_groups", "observed_tracks"]),
+        (6, ["compounds", "track_history"]),
+        (7, ["favourite_tracks", "artist_history", "favourite_artists"]),
+        (8, ["clusters"]),
+    ],
+)
+def test_incremental_run_equals_a_full_one(frame, seed, altered):
+    rng = random.Random(seed)
+    rows = make(rng)
+    after = DiscoveryTables(**{t: frame(SCHEMAS[t], *rows[t]) for t in TABLES})
+    before = replace(after, **{t: frame(SCHEMAS[t], *other(rng, t, rows[t])) for t in altered})
+    previous = discovery_mix(before, THEN, SETTINGS)
+    changed = changed_users(before, after, THEN, NOW, SETTINGS)
+    full = mixes(discovery_mix(after, NOW, SETTINGS))
+    assert mixes(rerank(previous, after, changed, NOW, SETTINGS)) == full and full
+    if not altered:
+        assert changed.count() < 24
+
+
+def test_changed_keys_count_repeats(frame):
+    before = frame("k bigint, v string", (1, "a"), (1, "a"), (2, "b"), (3, "c"), (4, None), (None, "n"))
+    after = frame("k bigint, v string", (2, "b"), (3, "c"), (3, "c"), (4, None), (5, "e"), (None, "n"))
+    assert sorted(r.k for r in changed_keys(before, after, "k").collect()) == [1, 3, 5]
+    assert changed_keys(before, before, "k").collect() == []
+
+
+def test_lists_are_reduced_before_they_are_exploded(spark, frame, tables_of_one):
+    changed = frame("userId bigint", (1,))
+    small = of_users(tables_of_one, changed)
+    plan = discovery_mix(small, NOW, SETTINGS)._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate posexplode(recommendations" in line)
+    lines = plan[plan.index(generate) :].splitlines()
+    depth = len(generate) - len(generate.lstrip(" :+-"))
+    own = [line for line in lines[1:] if len(line) - len(line.lstrip(" :+-")) > depth]
+    assert any("Join LeftSemi" in line for line in own)
+
+
+@pytest.fixture
+def tables_of_one(frame):
+    rows = make(random.Random(1))
+    return DiscoveryTables(**{t: frame(SCHEMAS[t], *rows[t]) for t in TABLES})

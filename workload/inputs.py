@@ -5,6 +5,7 @@ and the events' numbers as sequence items. ``workload.sql`` states the same tabl
 """
 
 import tempfile
+from dataclasses import fields, replace
 from functools import cached_property
 from uuid import uuid4
 
@@ -275,6 +276,21 @@ class Inputs:
             "time"
         )
 
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        """The observations as deliveries in one day; every second one of them is delivered again."""
+        user = F.col("c_custkey")
+        opened = self.table("customer").select(user.alias("user")).where("user % 3 = 0")
+        times = F.when(F.col("user") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        observed = opened.select("user", F.explode(times).alias("time"))
+        copies = F.explode(F.when(F.col("user") % 4 < 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+        return observed.select("user", "time", copies).select(
+            F.concat_ws("-", "user", "time").alias("deliveryId"),
+            mix_id(DISCOVERY_PREFIX, "user").alias("mixId"),
+            F.timestamp_seconds(F.lit(996_969_600) + F.col("user") % 80_000).alias("observedAt"),
+            "copy",
+        )
+
     @cached_property
     def observed_tracks(self) -> DataFrame:
         seen = observed_tracks(self.mixes, self.observed_mixes)
@@ -328,3 +344,39 @@ class Inputs:
             favourite_artists=self.favourite_artists,
             clusters=self.clusters,
         )
+
+    @cached_property
+    def stored_discovery(self) -> DiscoveryTables:
+        """The same inputs, written once: two runs read them."""
+        return DiscoveryTables(**{f.name: self.stored(getattr(self.discovery, f.name), f.name) for f in fields(DiscoveryTables)})
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def discovery_before(self) -> DiscoveryTables:
+        """Inputs of the run before: of some users each, one track, one availability and one compound they were others."""
+        now = self.stored_discovery
+        user = lambda every, rest, column="userId": F.pmod(F.col(column).cast("bigint"), F.lit(every)) == rest
+        other = lambda column, value, when: F.when(when, value).otherwise(F.col(column))
+        late = user(60, 11, "user")
+        return replace(
+            now,
+            recommendations=now.recommendations.withColumn(
+                "recommendations", other("recommendations", F.reverse("recommendations"), late)
+            ),
+            users=now.users.withColumn("countryCode", other("countryCode", F.lit("NOWHERE"), user(70, 5, "id"))),
+            tracks=now.tracks.withColumn("title", other("title", F.lit("An earlier name"), F.col("trackGroup") == "9")),
+            track_groups=now.track_groups.withColumn(
+                "AvailableCountryCodes", other("AvailableCountryCodes", F.array().cast("array<string>"), F.col("trackGroup") == "44")
+            ),
+            blacklist=now.blacklist.where(~user(40, 3)),
+            compounds=now.compounds.where("NOT (artistId = 33 AND priority = 2)"),
+            observed_tracks=now.observed_tracks.where(~user(45, 6)),
+            track_history=now.track_history.withColumn("count", other("count", F.col("count") + 5, user(55, 7))),
+            favourite_tracks=now.favourite_tracks.where(~user(65, 8)),
+            artist_history=now.artist_history.withColumn("count", other("count", F.col("count") + 9, user(75, 1))),
+            favourite_artists=now.favourite_artists.where(~user(85, 6)),
+        )

@@ -10,9 +10,11 @@ from mixloom.functions import at_date, clean_title, mix_id, pick_artists, pick_a
 from mixloom.functions import updated_millis
 from mixloom.operators import assemble, enrich, exclude, rank, scoring, shape
 from mixloom.operators.joins import lookup
-from mixloom.plans import current_mixes, daily_mix, discovery_mix, mix_quality_report, observed_tracks, score_sequences
-from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs
+from mixloom.plans import changed_users, current_mixes, daily_mix, discovery_mix, mix_quality_report, observed_tracks, rerank, score_sequences
+from mixloom.streaming import read_observed, stream_observed
+from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs, scratch
 
+WEEK_BEFORE = "2001-07-25"
 # A mix of 14, which most users' known artists do not fit into.
 MIX_SIZE = 14
 HEARD = dict(as_of=AS_OF, min_plays=2, months=12, date_col="dt")
@@ -215,6 +217,25 @@ def compacted_mixes(i: Inputs) -> DataFrame:
     return listed(table.read())
 
 
+def incremental_mix(i: Inputs) -> DataFrame:
+    """The discovery mix from that of the run before, a week earlier on other inputs, by ranking changed users again."""
+    before, now = i.discovery_before, i.stored_discovery
+    previous = i.stored(discovery_mix(before, WEEK_BEFORE, SETTINGS), "previous")
+    changed = i.stored(changed_users(before, now, WEEK_BEFORE, AS_OF, SETTINGS, unchanged=["clusters"]), "changed")
+    return listed(rerank(previous, now, changed, AS_OF, SETTINGS))
+
+
+def observed_stream(i: Inputs) -> DataFrame:
+    """The tracks of opened mixes from a stream that is stopped and started again, first deliveries before repeated ones."""
+    source, target, state = (scratch(i.spark, name) for name in ("deliveries", "observed", "stream-state"))
+    mixes = i.stored(i.mixes, "mixes")
+    for copy in (0, 1):
+        some = i.deliveries.where(F.col("copy") == copy).drop("copy")
+        some.repartition(3, "mixId").write.mode("append").parquet(source)
+        stream_observed(i.spark, source, mixes, target, state, max_files=2).awaitTermination()
+    return read_observed(i.spark, target)
+
+
 Query = Callable[[Inputs], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -261,10 +282,12 @@ QUERIES: dict[str, Query] = {
     "score_sequences": scored,
     "score_sequences_with_model": scored_by_model,
     "observed_tracks": lambda i: observed_tracks(i.mixes, i.observed_mixes),
+    "observed_stream": observed_stream,
     "daily_slice": lambda i: listed(i.mixes.transform(shape.daily_slice(DAILY_DATE))),
     "daily_mix": lambda i: listed(daily_mix(i.mixes, DAILY_DATE, RUN_AT)),
     "discovery_mix": lambda i: listed(discovery_mix(i.discovery, AS_OF, SETTINGS)),
     "mix_quality_report": quality,
+    "incremental_mix": incremental_mix,
     "keyed_mixes": lambda i: listed(i.mix_table.read()),
     "keyed_mixes_of_version": lambda i: listed(i.mix_table.read(2)),
     "keyed_mixes_compacted": compacted_mixes,

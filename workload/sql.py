@@ -346,6 +346,8 @@ REPLAYED = f"""
     WHERE version <= {{until}} QUALIFY row_number() OVER (PARTITION BY user ORDER BY version DESC) = 1"""
 SHOWN = "user, array_to_string(tracks, ',') AS tracks, mixId, atDate"
 QUERIES |= {
+    "observed_stream": QUERIES["observed_tracks"],
+    "incremental_mix": QUERIES["discovery_mix"],
     "keyed_mixes": f"SELECT {SHOWN} FROM ({REPLAYED.format(until=4)}) WHERE NOT gone",
     "keyed_mixes_of_version": f"SELECT {SHOWN} FROM ({REPLAYED.format(until=2)}) WHERE NOT gone",
     "keyed_mixes_compacted": f"""
