@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mixloom.functions import at_date, clean_title, mix_id, pick_artists, pick_artists_with_cover, stable_mix_id
 from mixloom.functions import updated_millis
-from mixloom.operators import assemble, enrich, exclude, rank, scoring, shape
+from mixloom.operators import assemble, contexts, enrich, exclude, rank, scoring, shape, similar
 from mixloom.operators.joins import lookup
 from mixloom.plans import changed_users, current_mixes, daily_mix, discovery_mix, mix_quality_report, observed_tracks, rerank, score_sequences
 from mixloom.streaming import read_observed, stream_observed
@@ -236,6 +236,30 @@ def observed_stream(i: Inputs) -> DataFrame:
     return read_observed(i.spark, target)
 
 
+def scored_by_context(i: Inputs) -> DataFrame:
+    recent = i.sequences.transform(scoring.recent_sequences(500))
+    lists = recent.transform(contexts.score_by_context(contexts.context_model(recent, n_recs=10), n_recs=10))
+    return positions(lists.drop("order").transform(scoring.decode(i.vocabulary)), "user", "recommendations")
+
+
+def similar_items(i: Inputs) -> DataFrame:
+    """Tracks that the same users play."""
+    plays = i.track_history.select(
+        F.col("trackGroup").alias("item"), F.col("userId").alias("feature"), F.col("count").alias("weight")
+    )
+    return positions(similar.similar_items(plays, 10, 0.1), "item", "neighbours", "neighbour")
+
+
+def enrich_similar_by_plays(i: Inputs) -> DataFrame:
+    neighbours = similar.similar_artists(i.artist_history, 4, 0.2)
+    return known(i).transform(enrich.with_similar_artists(neighbours, 3))
+
+
+def filter_heard_near_titles(i: Inputs) -> DataFrame:
+    by_title = similar.filter_heard_near_titles(i.track_history, 0.5, **HEARD)
+    return with_titles(i).transform(by_title).select("userId", "trackGroup", "artistId", "pos")
+
+
 Query = Callable[[Inputs], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -281,6 +305,11 @@ QUERIES: dict[str, Query] = {
     "vocabulary_decode": vocabulary_decode,
     "score_sequences": scored,
     "score_sequences_with_model": scored_by_model,
+    "score_sequences_by_context": scored_by_context,
+    "similar_items": similar_items,
+    "enrich_similar_by_plays": enrich_similar_by_plays,
+    "near_titles": lambda i: similar.near_titles(similar.clean_titles(i.tracks), 0.5),
+    "filter_heard_near_titles": filter_heard_near_titles,
     "observed_tracks": lambda i: observed_tracks(i.mixes, i.observed_mixes),
     "observed_stream": observed_stream,
     "daily_slice": lambda i: listed(i.mixes.transform(shape.daily_slice(DAILY_DATE))),

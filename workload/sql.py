@@ -345,7 +345,73 @@ REPLAYED = f"""
         UNION ALL SELECT *, 4, false FROM ({WEEK}) WHERE user % 14 = 3)
     WHERE version <= {{until}} QUALIFY row_number() OVER (PARTITION BY user ORDER BY version DESC) = 1"""
 SHOWN = "user, array_to_string(tracks, ',') AS tracks, mixId, atDate"
+STEPS |= {
+    "gram_sets": f"""
+        SELECT title, list_distinct([substr(' ' || title || ' ', n, 3) FOR n IN range(1, greatest(length(title), 1) + 1)]) AS g
+        FROM (SELECT DISTINCT {CLEAN} AS title FROM tracks) WHERE title IS NOT NULL""",
+    "near": """
+        SELECT a.title, b.title AS other FROM gram_sets a JOIN gram_sets b ON a.title <> b.title
+        WHERE len(list_intersect(a.g, b.g))::DOUBLE / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) >= 0.5 - 1e-9""",
+    "artist_norms": "SELECT artistId, sum(count * count) AS norm FROM artist_history GROUP BY artistId",
+    "artist_pairs": """
+        SELECT a.artistId, b.artistId AS neighbour,
+               sum(a.count * b.count)::DOUBLE / sqrt(any_value(n.norm)::DOUBLE * any_value(m.norm)::DOUBLE) AS cosine
+        FROM artist_history a JOIN artist_history b ON a.userId = b.userId AND a.artistId <> b.artistId
+        JOIN artist_norms n ON n.artistId = a.artistId JOIN artist_norms m ON m.artistId = b.artistId
+        GROUP BY a.artistId, b.artistId""",
+    "plays_of": "SELECT CAST(part AS VARCHAR) AS item, userId, count(*) AS count FROM plays GROUP BY part, userId",
+    "item_norms": "SELECT item, sum(count * count) AS norm FROM plays_of GROUP BY item",
+    "item_pairs": """
+        SELECT a.item, b.item AS neighbour,
+               sum(a.count * b.count)::DOUBLE / sqrt(any_value(n.norm)::DOUBLE * any_value(m.norm)::DOUBLE) AS cosine
+        FROM plays_of a JOIN plays_of b ON a.userId = b.userId AND a.item <> b.item
+        JOIN item_norms n ON n.item = a.item JOIN item_norms m ON m.item = b.item
+        GROUP BY a.item, b.item""",
+    "steps_of": """
+        SELECT user, index, back, lag(index, 1) OVER w AS l1, lag(index, 2) OVER w AS l2, lag(index, 3) OVER w AS l3
+        FROM (SELECT * FROM sequence WHERE back <= 500) WINDOW w AS (PARTITION BY user ORDER BY place)""",
+    "context_counts": """
+        SELECT context, next, count(*) AS times FROM (
+            SELECT CAST([] AS INTEGER[]) AS context, index AS next FROM steps_of
+            UNION ALL SELECT [l1], index FROM steps_of WHERE l1 IS NOT NULL
+            UNION ALL SELECT [l2, l1], index FROM steps_of WHERE l2 IS NOT NULL
+            UNION ALL SELECT [l3, l2, l1], index FROM steps_of WHERE l3 IS NOT NULL)
+        GROUP BY ALL""",
+    "context_lists": """
+        SELECT context, next, row_number() OVER (PARTITION BY context ORDER BY times DESC, next) AS place
+        FROM context_counts
+        QUALIFY sum(times) OVER (PARTITION BY context) >= 2 OR len(context) = 0""",
+    "context_ends": """
+        SELECT user, CAST([] AS INTEGER[]) AS context FROM steps_of WHERE back = 1
+        UNION ALL SELECT user, [index] FROM steps_of WHERE back = 1
+        UNION ALL SELECT user, [l1, index] FROM steps_of WHERE back = 1 AND l1 IS NOT NULL
+        UNION ALL SELECT user, [l2, l1, index] FROM steps_of WHERE back = 1 AND l2 IS NOT NULL""",
+}
 QUERIES |= {
+    "score_sequences_by_context": """
+        SELECT f.user, CAST(row_number() OVER (PARTITION BY f.user ORDER BY f.first) - 1 AS INTEGER) AS position, v.item
+        FROM (SELECT e.user, c.next, min((3 - len(e.context)) * 100 + c.place) AS first
+              FROM context_ends e JOIN context_lists c ON c.context = e.context AND c.place <= 10
+              GROUP BY e.user, c.next
+              QUALIFY row_number() OVER (PARTITION BY e.user ORDER BY first) <= 10) f
+        LEFT JOIN vocabulary v ON v.index = f.next""",
+    "similar_items": """
+        SELECT item, CAST(place - 1 AS INTEGER) AS position, neighbour FROM (
+            SELECT item, neighbour, row_number() OVER (PARTITION BY item ORDER BY cosine DESC, neighbour) AS place
+            FROM item_pairs WHERE cosine >= 0.1)
+        WHERE place <= 10""",
+    "enrich_similar_by_plays": """
+        SELECT userId, neighbour AS artistId, CAST(place - 1 AS INTEGER) AS enriched_position, 1 AS enriched
+        FROM known JOIN (
+            SELECT artistId, neighbour, row_number() OVER (PARTITION BY artistId ORDER BY cosine DESC, neighbour) AS place
+            FROM artist_pairs WHERE cosine >= 0.2) USING (artistId)
+        WHERE place <= 3""",
+    "near_titles": "SELECT title, other FROM near",
+    "filter_heard_near_titles": """
+        SELECT userId, trackGroup, c.artistId, pos FROM cand c JOIN titled t USING (trackGroup)
+        WHERE NOT EXISTS (SELECT 1 FROM heard x WHERE x.userId = c.userId AND x.cleanedTitle = t.cleanedTitle)
+          AND NOT EXISTS (SELECT 1 FROM heard x JOIN near n ON n.title = x.cleanedTitle
+                          WHERE x.userId = c.userId AND n.other = t.cleanedTitle)""",
     "observed_stream": QUERIES["observed_tracks"],
     "incremental_mix": QUERIES["discovery_mix"],
     "keyed_mixes": f"SELECT {SHOWN} FROM ({REPLAYED.format(until=4)}) WHERE NOT gone",
