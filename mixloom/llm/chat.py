@@ -124,17 +124,21 @@ TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
 def conversations(df: DataFrame, mappings: dict[str, Mapping] = MAPPINGS) -> DataFrame:
-    """``conv_id long, turns array<struct<turn, role, text>>`` in order, from any known layout."""
+    """``conv_id long, conv_key string, turns array<struct<turn, role, text>>`` in order, from any known layout.
+
+    ``conv_key`` is the id as text, by which conversations are told apart; ``conv_id`` is null where that is no whole number.
+    """
     m = select_mapping(df.schema, mappings)
-    key = _quoted(m.id).cast("long").alias("conv_id")
+    key = _quoted(m.id).cast("string").alias("conv_key")
+    number = F.col("conv_key").try_cast("long").alias("conv_id")
     if m.kind == "rows":
         turn = _turn(_quoted(m.order), _quoted(m.role), _quoted(m.text))
-        return df.groupBy(key).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+        return df.groupBy(key).agg(F.sort_array(F.collect_list(turn)).alias("turns")).select(number, "conv_key", "turns")
     if m.kind == "list":
         turns = _list_turns(_quoted(m.turns), m.role, m.text)
     else:
         turns = _field_turns([(role, _quoted(path)) for role, path in m.fields])
-    return df.select(key, turns.alias("turns"))
+    return df.select(key, turns.alias("turns")).select(number, "conv_key", "turns")
 
 
 def json_conversations(df: DataFrame, column: str, mappings: dict[str, Mapping] = MAPPINGS) -> DataFrame:
@@ -166,8 +170,9 @@ def json_conversations(df: DataFrame, column: str, mappings: dict[str, Mapping]
         known = shape == F.sha2(F.lit(text), 256)
         exact, partial = F.when(known, turns).otherwise(exact), F.when(present, turns).otherwise(partial)
     ids = sorted({m.id for m in mappings.values() if m.kind != "rows"})
-    key = F.coalesce(*[F.try_variant_get(v, f"$.{i}", "long") for i in ids])
-    return df.select(key.alias("conv_id"), F.coalesce(exact, partial).alias("turns"))
+    key = F.coalesce(*[F.try_variant_get(v, f"$.{i}", "string") for i in ids]).alias("conv_key")
+    found = df.select(key, F.coalesce(exact, partial).alias("turns"))
+    return found.select(F.col("conv_key").try_cast("long").alias("conv_id"), "conv_key", "turns")
 
 
 def escape(text: Column) -> Column:
@@ -188,8 +193,9 @@ def _written(turn: Column) -> Column:
 
 
 def format_chats(chats: DataFrame) -> DataFrame:
-    """``conv_id, formatted`` from ``conv_id, turns``; null turns are none."""
-    return chats.select("conv_id", F.coalesce(F.array_join(F.transform("turns", _written), ""), F.lit("")).alias("formatted"))
+    """``formatted`` beside the ids of ``turns``; null turns are none."""
+    ids = [c for c in ("conv_id", "conv_key") if c in chats.columns]
+    return chats.select(*ids, F.coalesce(F.array_join(F.transform("turns", _written), ""), F.lit("")).alias("formatted"))
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
@@ -228,8 +234,7 @@ def read_chats(formatted: DataFrame) -> DataFrame:
         "_pieces", lambda p: F.struct(unescape(p["role"]).alias("role"), unescape(p["text"]).alias("text"))
     )
     return with_pieces.select(
-        "conv_id",
-        "formatted",
+        *formatted.columns,
         turns.alias("turns"),
         F.aggregate("_pieces", start, placed, lambda s: s["spans"]).alias("loss_spans"),
     )

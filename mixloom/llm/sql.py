@@ -1,6 +1,9 @@
 """The queries in SQL (DuckDB) where SQL can state them."""
 
-from mixloom.llm.urls import ITERATIONS, LINK, MASS
+from mixloom.llm.urls import LINK, MASS
+
+# On these pages no link leaves its host, so ranks stand still after two rounds; SQL makes a few more.
+ROUNDS = 12
 
 _ESCAPED = (
     "(length({0}) + length({0}) - length(replace({0}, chr(92), ''))"
@@ -26,7 +29,7 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id"""
 
 
-def url_filter(iterations: int = ITERATIONS) -> str:
+def url_filter(iterations: int = ROUNDS) -> str:
     """Every round of the propagation is one step of the statement."""
     link = LINK.replace("'", "''")
     steps = [
@@ -71,10 +74,13 @@ def url_filter(iterations: int = ITERATIONS) -> str:
         FROM (SELECT w.kind, w.dst, r.rank, w.share FROM ways w JOIN rank{n - 1} r ON w.kind = r.kind AND w.src = r.host)
         GROUP BY kind, dst)
     GROUP BY kind, host)""")
-    steps.append(f"""hosts AS (
+    steps.append(f"""parts AS (
+    SELECT kind, host, CAST(floor(rank::DOUBLE * ({MASS}::DOUBLE / CAST(sum(rank) OVER (PARTITION BY kind) AS DOUBLE)))
+               AS BIGINT) AS rank FROM rank{iterations})""")
+    steps.append("""hosts AS (
     SELECT host, CAST(coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS BIGINT) AS trust,
            CAST(coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS BIGINT) AS distrust
-    FROM rank{iterations} GROUP BY host)""")
+    FROM parts GROUP BY host)""")
     return "WITH " + ",\n".join(steps) + """
 SELECT p.page_id, p.host, p.path, p.rule,
        CASE WHEN p.kind = 'trust' THEN 'allow' WHEN p.kind = 'distrust' THEN 'block'

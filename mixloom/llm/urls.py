@@ -2,7 +2,10 @@
 
 Trust is a personalised PageRank from the hosts of pages that a rule allows; distrust is the same over the reversed
 links, from the hosts of pages that a rule blocks, so it reaches whoever links to them. A host with more distrust than
-trust is blocked. Links to one's own host count for nothing, a host that reaches no seed is allowed.
+trust, or than ``ratio`` times it, is blocked. Links to one's own host count for nothing, a host that reaches no seed is allowed.
+
+Rounds go on until less than ``RESIDUE`` of a kind's mass moves in one. What reaches a host without links of that kind goes back to the
+seeds: that multiplies all ranks of a kind by one factor, so it is done once, at the end, by dividing them by their sum.
 
 Ranks are whole numbers (``MASS`` in all) and every share is rounded down on its own edge, so sums do not depend on
 their order and reruns agree. A null URL, or one without ``://``, has an empty host and path, to which no rule
@@ -20,7 +23,8 @@ from mixloom.llm.base import stored
 
 MASS = 10**15
 DAMPING = 0.85
-ITERATIONS = 12
+#: The rounds end when ranks change by less than this part of the mass in one.
+RESIDUE = 1e-6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?:href|src)\s*=\s*["']?(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -67,12 +71,15 @@ def judged_by_rules(pages: DataFrame, rules: list[Rule], keep: list[str]) -> Dat
     return parsed.select("*", name.alias("rule"), verdict.alias("_by_rule"))
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """``src, dst, weight``: pages of one host times their links to another."""
-    found = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), 1)
-    links = pages.select(host_of(F.col("url")).alias("src"), F.explode(found).alias("dst"))
-    lowered = links.select("src", F.translate("dst", UPPER, LOWER).alias("dst"))
-    return lowered.where("src <> dst and src <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+def linked_hosts(html: Column) -> Column:
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(LINK), 1)
+    return F.transform(found, lambda host: F.translate(host, UPPER, LOWER))
+
+
+def host_edges(linked: DataFrame) -> DataFrame:
+    """``src, dst, weight``: pages (``host, _links``) of one host times their links to another."""
+    links = linked.select(F.col("host").alias("src"), F.explode("_links").alias("dst"))
+    return links.where("src <> dst and src <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -96,39 +103,48 @@ def _seeds(judged: DataFrame) -> DataFrame:
     return hosts.join(all_pages, "kind").select("kind", "host", mass.alias("seed"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
-    """``kind, host, rank`` after so many rounds, or fewer if a round changes nothing.
+def propagate(edges: DataFrame, seeds: DataFrame, iterations: int | None = None, residue: float = RESIDUE) -> DataFrame:
+    """``kind, host, rank``; ranks of a kind are parts of ``MASS``.
 
-    Each round is written to the shared folder: ranks are summed per host where they arise before they are shuffled.
+    Each round is written to the shared folder: ranks are summed per host where they arise before they are shuffled, and with them
+    how far they moved. ``iterations`` ends the rounds earlier.
     """
     ways = stored(_both_ways(edges), "edges")
     base = stored(seeds.select("kind", "host", "seed"), "seeds")
-    own = base.select("kind", "host", F.floor(F.col("seed") * F.lit(1 - DAMPING)).alias("rank"))
-    ranks, before = base.withColumnRenamed("seed", "rank"), None
-    for _ in range(iterations):
-        sent = ways.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
+    none = F.lit(0).cast("long")
+    own = base.select("kind", "host", F.floor(F.col("seed") * F.lit(1 - DAMPING)).alias("rank"), none.alias("was"))
+    ranks, rounds = base.select("kind", "host", F.col("seed").alias("rank")), 0
+    while iterations is None or rounds < iterations:
+        sent = ways.join(ranks.select("kind", F.col("host").alias("src"), "rank"), ["kind", "src"])
         parts = sent.select("kind", F.col("dst").alias("host"), F.floor(F.col("rank") * F.col("share")).alias("part"))
         moved = parts.groupBy("kind", "host").agg(F.sum("part").alias("part"))
-        moved = moved.select("kind", "host", F.floor(F.col("part") * F.lit(DAMPING)).alias("rank"))
-        ranks = stored(own.unionByName(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "ranks")
-        mark = ranks.agg(F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(38,0)"))).first()[0]
-        if mark == before:
+        moved = moved.select("kind", "host", F.floor(F.col("part") * F.lit(DAMPING)).alias("rank"), none.alias("was"))
+        before = ranks.select("kind", "host", none.alias("rank"), F.col("rank").alias("was"))
+        summed = own.unionByName(moved).unionByName(before).groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("was").alias("was"))
+        ranks, rounds = stored(summed, "ranks"), rounds + 1
+        far = ranks.groupBy("kind").agg(F.sum(F.abs(F.col("rank") - F.col("was"))).alias("far")).agg(F.max("far")).first()[0]
+        if far is None or far <= residue * MASS:
             break
-        before = mark
-    return ranks
+    totals = ranks.groupBy("kind").agg(F.sum("rank").alias("_all"))
+    part = F.floor(F.col("rank").cast("double") * (F.lit(float(MASS)) / F.col("_all").cast("double")))
+    return ranks.where("rank > 0").join(totals, "kind").select("kind", "host", part.alias("rank"))
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], iterations: int = ITERATIONS) -> DataFrame:
-    """``page_id, host, path, rule, verdict, trust, distrust`` for every page (``page_id, url, html``)."""
-    judged = judged_by_rules(pages, rules, ["page_id"])
-    ranks = propagate(host_edges(pages), _seeds(judged), iterations)
+def filter_urls(pages: DataFrame, rules: list[Rule], iterations: int | None = None, ratio: float = 1.0) -> DataFrame:
+    """``page_id, host, path, rule, verdict, trust, distrust`` for every page (``page_id, url, html``).
+
+    The pages are read once; of each, host, path, rule and linked hosts are kept.
+    """
+    html = pages.withColumn("_links", linked_hosts(F.col("html")))
+    judged = stored(judged_by_rules(html, rules, ["page_id", "_links"]), "judged")
+    ranks = propagate(host_edges(judged), _seeds(judged), iterations)
 
     def of(kind: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0))
 
     hosts = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     ranked = judged.join(hosts.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
-    spread = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
+    spread = F.when(F.col("distrust") > F.col("trust") * F.lit(ratio), "block").otherwise("allow")
     return ranked.select(
         "page_id",
         "host",

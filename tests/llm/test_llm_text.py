@@ -1,6 +1,7 @@
 """Chat formatting, URL filter, language ID."""
 
 import hashlib
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -60,6 +61,19 @@ def test_layouts(frame):
     assert chat.digest_chats(chat.read_chats(chat.format_chats(chat.conversations(listed.limit(0))))).count() == 0
 
 
+def test_ids_that_are_text_stay_apart(frame):
+    rows = [(i, t, "user", f"{i} {t}") for i in ("a-1", "b-2", "17", None) for t in (1, 0)]
+    found = chat.conversations(frame("conv_id string, turn long, role string, text string", *rows))
+    read = {r.conv_key: (r.conv_id, [t.text for t in r.turns]) for r in chat.read_chats(chat.format_chats(found)).collect()}
+    assert read == {
+        "a-1": (None, ["a-1 0", "a-1 1"]), "b-2": (None, ["b-2 0", "b-2 1"]), "17": (17, ["17 0", "17 1"]), None: (None, ["None 0", "None 1"]),
+    }
+    listed = frame("conv_id string, messages array<struct<role:string,content:string>>", ("x", [("user", "q")]), ("9", [("user", "r")]))
+    assert {r.conv_key: r.conv_id for r in chat.conversations(listed).collect()} == {"x": None, "9": 9}
+    rows = chat.json_conversations(frame("j string", ('{"id":"t","prompt":"a","response":"b"}',), ('{"id":5,"prompt":"a","response":"b"}',)), "j")
+    assert {r.conv_key: r.conv_id for r in rows.collect()} == {"t": None, "5": 5}
+
+
 def test_json_rows_by_their_own_fingerprint(frame):
     texts = ['{"id":1,"prompt":"a","response":"b"}', '{"conv_id":2,"messages":[{"role":"user","content":"q"}],"x":1}', "[1]", "bad", None, '{"id":3,"conversations":[{"from":"human","value":"q"}]}']
     rows = chat.json_conversations(frame("j string", *[(t,) for t in texts]), "j").collect()
@@ -110,7 +124,7 @@ def brute_ranks(pages, rules, iterations):
             for h, x in inflow.items():
                 new[h] = new.get(h, 0) + int(x * urls.DAMPING)
             rank = new
-        out[kind] = rank
+        out[kind] = {h: int(r * (urls.MASS / sum(rank.values()))) for h, r in rank.items() if r}
     return out
 
 
@@ -128,6 +142,44 @@ def test_trust_and_distrust_follow_links(frame):
     assert found["spam.net"].verdict == found["farm.net"].verdict == "block"
 
 
+def exact_ranks(way, seeds, rounds=400):
+    """Personalised PageRank in floats; what reaches a host without links goes back to the seeds."""
+    total = {}
+    for (a, _), w in way.items():
+        total[a] = total.get(a, 0) + w
+    rank = dict(seeds)
+    for _ in range(rounds):
+        lost = sum(r for h, r in rank.items() if h not in total)
+        new = {h: s * (1 - urls.DAMPING + urls.DAMPING * lost) for h, s in seeds.items()}
+        for (a, b), w in way.items():
+            new[b] = new.get(b, 0) + urls.DAMPING * rank.get(a, 0) * w / total[a]
+        rank = new
+    return rank
+
+
+def test_ranks_settle_on_a_random_graph(frame):
+    """Some 200 hosts with sinks, cycles and a chain longer than any fixed number of rounds would follow."""
+    rng = random.Random(8)
+    hosts = [f"h{n}.net" for n in range(200)]
+    links = {h: [rng.choice(hosts) for _ in range(rng.choice([0, 0, 1, 2, 5]))] for h in hosts}
+    chain = [f"c{n}.net" for n in range(40)]
+    links |= {a: [b] for a, b in zip(chain, chain[1:])} | {"good.org": [hosts[0], chain[0]], "bad.com": [hosts[1]], "x.good.org": [hosts[2]]}
+    for h in hosts[3:9]:
+        links[h] = [*links[h], "bad.com"]
+    pages = [(n, f"http://{h}/", "".join(f'<a href="http://{x}/">' for x in own)) for n, (h, own) in enumerate(links.items())]
+    found = {r.host: r for r in urls.filter_urls(frame("page_id long, url string, html string", *pages), RULES).collect()}
+    edges = {}
+    for a, own in links.items():
+        for b in own:
+            if a != b:
+                edges[a, b] = edges.get((a, b), 0) + 1
+    trust = exact_ranks(edges, {"good.org": 0.5, "x.good.org": 0.5})
+    distrust = exact_ranks({(b, a): w for (a, b), w in edges.items()}, {"bad.com": 1.0})
+    for h, r in found.items():
+        assert abs(r.trust / urls.MASS - trust.get(h, 0)) < 1e-5 and abs(r.distrust / urls.MASS - distrust.get(h, 0)) < 1e-5
+    assert found[chain[-2]].trust > 0 and found[chain[-2]].verdict == "allow"
+
+
 def test_language(spark, frame):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.learn(docs)
