@@ -5,7 +5,7 @@ every block meets every shard. A shard keeps, for each dimension, its rows sorte
 from the end that its component's sign favours (a component of zero favours none and its list isn't read), scores each row that it meets for the
 first time with the whole vectors, and sums its own components times those last read in each list: the threshold, which no
 unread row's score can exceed. A search ends once the threshold lies strictly below the k-th score of each of its windows, or below
-the least score that a window admits, or when a list is read out.
+the least score that a window admits, or when no row is left unread.
 
 Positives come first: an anchor's window admits rows of its own label with any score, and the best of all shards are its positives.
 Each positive gives a window of scores for the second search, which admits rows of other labels; all windows of an anchor share its
@@ -82,19 +82,16 @@ class Best:
 def search(at: Shard, anchor: np.ndarray, allowed: np.ndarray, best: Best, step: int = STEP) -> int:
     """Offers rows of the shard that are ``allowed`` until no other can be among the best. Returns the rows scored."""
     rows = len(at.ids)
-    read = np.flatnonzero(anchor)
-    weights = anchor[read]
-    falling = weights > 0
-    order, values = at.order[read], at.sorted[read]
+    falling, rising = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
     seen = np.zeros(rows, bool)
     depth, scored = 0, 0
     while depth < rows:
         to = min(rows, depth + step)
         met = np.zeros(rows, bool)
-        if len(read):
-            met[order[falling, rows - to : rows - depth].ravel()] = True
-            met[order[~falling, depth:to].ravel()] = True
-            threshold = int(weights @ np.where(falling, values[:, rows - to], values[:, to - 1]))
+        if len(falling) or len(rising):
+            met[at.order[falling, rows - to : rows - depth].ravel()] = True
+            met[at.order[rising, depth:to].ravel()] = True
+            threshold = int(anchor[falling] @ at.sorted[falling, rows - to]) + int(anchor[rising] @ at.sorted[rising, to - 1])
         else:
             met[depth:to] = True
             threshold = 0
@@ -103,7 +100,7 @@ def search(at: Shard, anchor: np.ndarray, allowed: np.ndarray, best: Best, step:
         scored += len(new)
         new = new[allowed[new]]
         best.offer(new, (at.vectors[new] @ anchor).astype(np.int64))
-        if threshold < best.bar():
+        if threshold < best.bar() or scored == rows:
             break
         depth, step = to, 2 * step
     return scored
