@@ -3,6 +3,7 @@
 from mixloom.plans.current import current_mixes
 from mixloom.plans.daily import daily_mix
 from mixloom.plans.discovery import DiscoverySettings, DiscoveryTables, discovery_mix
+from mixloom.plans.drift import publish_unless_drifted
 from mixloom.plans.incremental import changed_users, rerank
 from mixloom.plans.observed import observed_tracks
 from mixloom.plans.publish import (
@@ -34,6 +35,7 @@ __all__ = [
     "publish_mixes",
     "publish_observed",
     "publish_recommendations",
+    "publish_unless_drifted",
     "rerank",
     "row_quality_report",
     "score_sequences",

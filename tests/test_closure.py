@@ -1,0 +1,91 @@
+"""Compounds of compounds against brute force."""
+
+import random
+
+import pytest
+
+from mixloom.operators import closure
+
+SCHEMA = "artistId bigint, artistCompoundId bigint, priority bigint, mainArtist boolean"
+
+
+def reachable(edges):
+    found = set()
+    for start in {a for a, _ in edges}:
+        stack, seen = [start], set()
+        while stack:
+            at = stack.pop()
+            for a, b in edges:
+                if a == at and b not in seen:
+                    seen.add(b)
+                    stack.append(b)
+        found |= {(start, s) for s in seen if s != start}
+    return found
+
+
+def ends(rows):
+    first = {}
+    for a, b, p, main in rows:
+        if main and a is not None and b is not None:
+            first[a] = min(first.get(a, (p, b)), (p, b))
+    out = {}
+    for a in first:
+        way, at = [], a
+        while at in first and at not in way:
+            way.append(at)
+            at = first[at][1]
+        out[a] = min(way[way.index(at) :]) if at in way else at
+    return out
+
+
+GRAPHS = {
+    "chain": [(n, n + 1) for n in range(1, 40)],
+    "diamond": [(1, 2), (1, 3), (2, 4), (3, 4), (4, 5)],
+    "cycle": [(5, 6), (6, 7), (7, 5), (1, 5), (2, 1), (9, 10)],
+    "self": [(3, 3), (4, 3), (4, 4)],
+    "two cycles": [(n, n % 20 + 1) for n in range(1, 21)] + [(30, 31), (31, 30), (32, 31), (40, 32)],
+    "hot": [(n, 1) for n in range(2, 60)] + [(1, 100), (100, 101)],
+}
+
+
+def rows_of(name):
+    if name in GRAPHS:
+        return [(a, b, n, True) for n, (a, b) in enumerate(GRAPHS[name])]
+    rng = random.Random(int(name))
+    made = [(rng.randrange(25), rng.randrange(25), rng.randrange(3), rng.random() < 0.8) for _ in range(22)]
+    return made + made[:5] + [(None, 3, 0, True), (4, None, 0, True)]
+
+
+@pytest.mark.parametrize("name", [*GRAPHS, "1", "2", "3"])
+def test_closure_and_ends(frame, name):
+    made = rows_of(name)
+    df = frame(SCHEMA, *made)
+    got = [tuple(r) for r in closure.all_constituents(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == reachable([(a, b) for a, b, *_ in made if a is not None and b is not None])
+    assert {r.artistId: r.resolvedArtistId for r in closure.final_artists(df).collect()} == ends(made)
+
+
+def test_empty_table_changes_nothing(frame, rows):
+    nothing = frame(SCHEMA)
+    df = frame("userId bigint, artistId bigint", (1, 7), (1, None), (None, 8))
+    assert closure.all_constituents(nothing).count() == 0
+    assert rows(df.transform(closure.to_final_artist(nothing)), *df.columns) == rows(df)
+
+
+def test_compounds_of_all_levels_are_taken_out(frame, rows):
+    compounds = frame(SCHEMA, (3, 2, 0, True), (2, 1, 0, True), (4, 9, 0, False), (1, 3, 0, False))
+    blacklist = frame(
+        "userId string, artifactId string, artifactType string", ("1", "1", "ARTIST"), ("2", "9", "ARTIST"), ("1", "4", "TRACK"), ("1", "x", "ARTIST")
+    )
+    df = frame("userId bigint, artistId bigint", *[(u, a) for u in (1, 2) for a in (1, 2, 3, 4, 9)], (1, None), (None, 1))
+    left = rows(df.transform(closure.filter_blacklisted_artists_of_all_levels(blacklist, compounds)))
+    assert left == [(None, 1), (1, None), (1, 4), (1, 9), (2, 1), (2, 2), (2, 3)]
+
+
+def test_rounds_before_the_last_are_removed(spark, frame):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    closure.all_constituents(frame(SCHEMA, *rows_of("chain")))
+    assert len(set(os.listdir(folder)) - before) == 1

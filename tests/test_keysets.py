@@ -1,0 +1,82 @@
+"""Key sets subtracted inside the row against the anti joins."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from mixloom.operators import keysets
+from mixloom.operators.exclude import filter_known_keys
+from mixloom.operators.shape import explode_recommendations
+from mixloom.sources.sinks import save_bucketed
+from test_scale import plan_of
+
+LISTS = "user bigint, recommendations array<string>"
+KEYS = "userId bigint, trackGroup string"
+
+
+def tables(frame, seed=1):
+    rng = random.Random(seed)
+    tracks = [f"t{n}" for n in range(60)] + ["", "é日"]
+    lists = [(u, [rng.choice([*tracks, None]) for _ in range(rng.randrange(80))]) for u in range(30)]
+    lists += [(77, []), (78, None), (None, ["t1", "t2"]), (79, ["t5"] * 3)]
+    keys = [(rng.randrange(28), rng.choice(tracks)) for _ in range(500)] + [(3, t) for t in tracks] + [(79, None), (None, "t1")]
+    return frame(LISTS, *lists), frame(KEYS, *keys), frame(KEYS, *keys[:50], (79, "t5"), (500, "t1"))
+
+
+@pytest.mark.parametrize("limit", [0, 15, 1000])
+def test_same_rows_as_anti_joins(frame, rows, limit):
+    lists, one, two = tables(frame)
+    expected = lists.transform(explode_recommendations()).transform(filter_known_keys(one, two))
+    found = keysets.key_sets(one, two, limit=limit)
+    assert rows(lists.transform(keysets.explode_unknown(found)), *expected.columns) == rows(expected)
+    sets = [r["items"] for r in found.sets.collect()]
+    assert all(s is None or (s == sorted(set(s)) and len(s) <= limit) for s in sets)
+    assert any(s is None for s in sets) == (limit < 1000)
+
+
+def test_no_keys_and_no_lists(frame, rows):
+    lists, one, _ = tables(frame)
+    empty = keysets.key_sets(one.limit(0))
+    assert rows(lists.transform(keysets.explode_unknown(empty)), "userId", "pos", "trackGroup") == rows(
+        lists.transform(explode_recommendations()), "userId", "pos", "trackGroup"
+    )
+    assert lists.limit(0).transform(keysets.explode_unknown(keysets.key_sets(one))).count() == 0
+
+
+def test_titles_and_artists_become_tracks(frame, rows):
+    tracks = frame("trackGroup string, title string", ("a", "x"), ("b", "x"), ("c", "y"), ("d", None))
+    keys = frame("userId bigint, title string", (1, "x"), (1, "x"), (2, "y"), (2, None), (3, "none"))
+    assert rows(keysets.tracks_with(keys, tracks, "title")) == [(1, "a"), (1, "b"), (2, "c")]
+
+
+def test_candidates_are_not_shuffled(spark, frame):
+    lists, one, two = tables(frame)
+    save_bucketed(lists, "set_lists", "user", 4)
+    found = keysets.save_key_sets(keysets.key_sets(one, two), "key_sets", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.table("set_lists").transform(keysets.explode_unknown(found, spilled=False))
+        assert "Exchange" not in plan_of(df)
+        # With a spill, what is shuffled is the spilled users' part alone, told apart before its lists are exploded.
+        plan = plan_of(spark.table("set_lists").transform(keysets.explode_unknown(found)))
+        branches = plan[: plan.index("HashAggregate")].split("Union")[1]
+        light = branches[: branches.index("LeftAnti")]
+        assert "Exchange" not in light
+        expected = lists.transform(explode_recommendations()).transform(filter_known_keys(one, two))
+        assert df.count() == expected.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for table in ("set_lists", "key_sets", "key_sets_spill"):
+            spark.sql(f"DROP TABLE {table}")
+
+
+def test_long_lists_with_many_hits(spark):
+    n = 20_000
+    lists = spark.range(1).select(
+        F.col("id").alias("user"), F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda x: x.cast("string")).alias("recommendations")
+    )
+    keys = spark.range(0, n, 2).select(F.lit(0).cast("bigint").alias("userId"), F.col("id").cast("string").alias("trackGroup"))
+    left = lists.transform(keysets.explode_unknown(keysets.key_sets(keys))).agg(F.count("pos"), F.min("pos"), F.max("pos")).first()
+    assert tuple(left) == (n // 2, 1, n - 1)

@@ -26,6 +26,8 @@ from mixloom.sources.keyed import KeyedTable
 AS_OF = "2001-08-01"
 # A Sunday, on which mixes of fewer than 68 tracks have no daily part any more.
 DAILY_DATE = "2001-08-05"
+# Run days of a back-fill: eight weeks up to the last one.
+BACKFILL = ["2001-06-13", "2001-06-20", "2001-06-27", "2001-07-04", "2001-07-11", "2001-07-18", "2001-07-25", "2001-08-01"]
 RUN_AT = "2001-08-05 04:05:06+00:00"
 SETTINGS = DiscoverySettings(mix_size=35, min_mix_size=34)
 ARTISTS = 40
@@ -145,6 +147,28 @@ class Inputs:
         members = F.array(member(31, 2, True), member(32, 1, True), member(30, 0, False))
         return self.artist_ids.where("artistId >= 32").select("artistId", F.inline(members))
 
+    @cached_property
+    def nested_compounds(self) -> DataFrame:
+        """Parts as artists, of which most are compounds of a half and a third of their own number, which may be compounds too: chains
+        and diamonds. Every fiftieth and the one after it are compounds of each other: cycles."""
+        a = F.col("p_partkey")
+
+        def member(other: Column, priority: int) -> Column:
+            return F.struct(
+                a.alias("artistId"),
+                other.cast("bigint").alias("artistCompoundId"),
+                F.lit(priority).cast("bigint").alias("priority"),
+                F.lit(True).alias("mainArtist"),
+            )
+
+        members = F.array(
+            F.when((a > 3) & (a % 4 != 1), member(whole("p_partkey", 2), 1)),
+            F.when((a > 3) & (a % 4 != 1), member(whole("p_partkey", 3), 2)),
+            F.when(a % 50 == 0, member(a + 1, 0)),
+            F.when(a % 50 == 1, member(a - 1, 0)),
+        )
+        return self.table("part").select(F.inline(F.array_compact(members)))
+
     # Users
 
     @cached_property
@@ -199,6 +223,11 @@ class Inputs:
             F.count(F.lit(1)).alias("count"), F.max("o_orderdate").alias("dt")
         )
 
+    @cached_property
+    def track_plays(self) -> DataFrame:
+        """One row per play."""
+        return self.lines.select("userId", text("part").alias("trackGroup"), F.col("o_orderdate").alias("playedAt"))
+
     @cached_property
     def album_history(self) -> DataFrame:
         """Plays per track of an album."""

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from mixloom.functions import at_date, clean_title, mix_id, pick_artists, pick_artists_with_cover, stable_mix_id
 from mixloom.functions import updated_millis
-from mixloom.operators import assemble, contexts, enrich, exclude, rank, scoring, shape, similar
+from mixloom.operators import assemble, backfill, closure, contexts, enrich, exclude, keysets, rank, scoring, shape, similar
 from mixloom.operators.joins import lookup
 from mixloom.plans import changed_users, current_mixes, daily_mix, discovery_mix, mix_quality_report, observed_tracks, rerank, score_sequences
+from mixloom.plans import drift
 from mixloom.streaming import read_observed, stream_observed
-from workload.inputs import AS_OF, DAILY_DATE, RUN_AT, SETTINGS, Inputs, scratch
+from workload.inputs import AS_OF, BACKFILL, DAILY_DATE, RUN_AT, SETTINGS, Inputs, scratch
 
 WEEK_BEFORE = "2001-07-25"
 # A mix of 14, which most users' known artists do not fit into.
@@ -260,6 +261,62 @@ def filter_heard_near_titles(i: Inputs) -> DataFrame:
     return with_titles(i).transform(by_title).select("userId", "trackGroup", "artistId", "pos")
 
 
+def nested_artists(i: Inputs) -> DataFrame:
+    """Candidates with the track's own number as artist, which may be a compound of compounds."""
+    return candidates(i).withColumn("artistId", F.col("trackGroup").cast("bigint"))
+
+
+def spans(i: Inputs) -> DataFrame:
+    return backfill.heard_spans(i.track_plays, BACKFILL, min_plays=2, months=12)
+
+
+def filter_heard_on_days(i: Inputs) -> DataFrame:
+    """The candidates of every second run day of the back-fill."""
+    daily = candidates(i).withColumn("day", F.explode(F.array(*[F.lit(d).cast("date") for d in BACKFILL[1::2]])))
+    return daily.transform(backfill.filter_heard_on_days(spans(i)))
+
+
+def filter_key_sets(i: Inputs) -> DataFrame:
+    """Candidates without blacklisted, observed, heard and saved tracks, heard titles, and blacklisted artists.
+
+    Users with more than 60 keys are spilled, which are some and not all.
+    """
+    described = i.stored(enrich.track_group_metadata(i.tracks).withColumn("cleanedTitle", clean_title("title")), "catalogue")
+    lists = i.stored(i.recommendations, "lists")
+    like = shape.explode_recommendations()(lists).withColumn("artistId", F.lit(0).cast("bigint"))
+    history = i.stored(i.track_history, "history")
+    blocked = exclude.blacklisted_artist_keys(i.blacklist, i.compounds, like)
+    found = keysets.key_sets(
+        exclude.blacklist_keys(i.blacklist, "TRACK", like, "trackGroup"),
+        i.observed_tracks,
+        exclude.heard_keys(history, exclude.TRACK_KEY, **HEARD),
+        i.favourite_tracks,
+        keysets.tracks_with(exclude.heard_keys(history, exclude.TITLE_KEY, **HEARD), described, "cleanedTitle"),
+        keysets.tracks_with(blocked, described, "artistId"),
+        limit=60,
+    )
+    kept = keysets.KeySets(i.stored(found.sets, "sets"), i.stored(found.spill, "spill"))
+    return lists.transform(keysets.explode_unknown(kept))
+
+
+def measured(i: Inputs, lists: DataFrame, plays: DataFrame) -> DataFrame:
+    """Lengths of mixes, positions of candidates in their lists, and plays of tracks by users."""
+    return drift.merge(
+        drift.mix_measures(lists),
+        drift.sketch(candidates(i), {"position": F.col("pos") * 7}),
+        drift.sketch(plays, {"plays": F.col("count"), "age": F.date_diff(F.lit(AS_OF).cast("date"), F.col("dt").cast("date"))}),
+    )
+
+
+def mix_drift(i: Inputs) -> DataFrame:
+    """Against a run with shorter mixes for some users, and other counts of plays."""
+    mixes, plays = i.stored(i.mixes, "mixes"), i.stored(i.track_history, "history")
+    shorter = F.when(F.col("user") % 5 == 0, F.slice("tracks", 1, 40)).otherwise(F.col("tracks"))
+    counted = F.when(F.col("userId") % 3 == 0, F.col("count") + 2).otherwise(F.col("count"))
+    before = measured(i, mixes.withColumn("tracks", shorter), plays.withColumn("count", counted))
+    return drift.drift(before, measured(i, mixes, plays))
+
+
 Query = Callable[[Inputs], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -289,6 +346,14 @@ QUERIES: dict[str, Query] = {
     "enrich_artist_metadata": lambda i: known(i).transform(enrich.with_artist_metadata(i.artists)),
     "enrich_user": enrich_user,
     "resolve_main_artist": lambda i: with_artists(i).transform(enrich.to_main_artist(i.compounds)),
+    "all_constituents": lambda i: closure.all_constituents(i.nested_compounds),
+    "resolve_final_artist": lambda i: nested_artists(i).transform(closure.to_final_artist(i.nested_compounds)),
+    "filter_blacklisted_artists_of_all_levels": lambda i: nested_artists(i).transform(
+        closure.filter_blacklisted_artists_of_all_levels(i.blacklist, i.nested_compounds)
+    ),
+    "heard_on_days": lambda i: spans(i).transform(backfill.on_run_days(BACKFILL)),
+    "filter_heard_on_days": filter_heard_on_days,
+    "filter_key_sets": filter_key_sets,
     "top_track_per_artist": lambda i: best_per_artist(i).drop("knownArtist"),
     "split_known_unknown": lambda i: chosen(i).drop("artistId"),
     "diversity_rank": lambda i: diverse(i).select("userId", "trackGroup", "rank"),
@@ -316,6 +381,9 @@ QUERIES: dict[str, Query] = {
     "daily_mix": lambda i: listed(daily_mix(i.mixes, DAILY_DATE, RUN_AT)),
     "discovery_mix": lambda i: listed(discovery_mix(i.discovery, AS_OF, SETTINGS)),
     "mix_quality_report": quality,
+    "mix_sketch": lambda i: measured(i, i.mixes, i.track_history),
+    "mix_quantiles": lambda i: drift.quantiles(measured(i, i.mixes, i.track_history), [10, 250, 500, 750, 990]),
+    "mix_drift": mix_drift,
     "incremental_mix": incremental_mix,
     "keyed_mixes": lambda i: listed(i.mix_table.read()),
     "keyed_mixes_of_version": lambda i: listed(i.mix_table.read(2)),

@@ -2,6 +2,8 @@
 
 import re
 
+from workload.inputs import BACKFILL
+
 CLEAN = r"""nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(title),
     '\([^)]*\)|\[[^\]]*\]', ' ', 'g'), ' - .*$', '', 'g'), '[^\p{L}\p{N} ]', '', 'g'), ' +', ' ', 'g')), '')"""
 
@@ -426,6 +428,111 @@ QUERIES |= {
 }
 
 
+def binned(value: str) -> str:
+    size = f"abs(CAST({value} AS BIGINT))"
+    drop = f"greatest(length(bin({size})) - 7, 0)"
+    return f"CAST(CASE WHEN {value} < 0 THEN -1 ELSE 1 END * (({size} >> {drop}) << {drop}) AS BIGINT)"
+
+
+def measures(lengths: str, plays: str) -> str:
+    """The values of the measures, from expressions over mixes and histories."""
+    return f"""
+        SELECT 'list_length' AS measure, {binned(lengths)} AS bin FROM mixes
+        UNION ALL SELECT 'position', {binned("pos * 7")} FROM recs
+        UNION ALL SELECT 'plays', {binned(plays)} FROM track_history
+        UNION ALL SELECT 'age', {binned("date_diff('day', CAST(dt AS DATE), DATE '2001-08-01')")} FROM track_history"""
+
+
+DAYS = ", ".join(f"(DATE '{d}')" for d in BACKFILL)
+STEPS |= {
+    "nested": """
+        SELECT p_partkey AS artistId, p_partkey // 2 AS artistCompoundId, 1 AS priority FROM part
+        WHERE p_partkey > 3 AND p_partkey % 4 <> 1
+        UNION ALL SELECT p_partkey, p_partkey // 3, 2 FROM part WHERE p_partkey > 3 AND p_partkey % 4 <> 1
+        UNION ALL SELECT p_partkey, p_partkey + 1, 0 FROM part WHERE p_partkey % 50 = 0
+        UNION ALL SELECT p_partkey, p_partkey - 1, 0 FROM part WHERE p_partkey % 50 = 1""",
+    "constituents": """
+        SELECT artistId, artistCompoundId FROM (
+            WITH RECURSIVE reach AS (
+                SELECT artistId, artistCompoundId FROM nested
+                UNION SELECT r.artistId, n.artistCompoundId FROM reach r JOIN nested n ON n.artistId = r.artistCompoundId)
+            SELECT * FROM reach)
+        WHERE artistId <> artistCompoundId""",
+    "next_artist": """
+        SELECT artistId, artistCompoundId AS next FROM nested
+        QUALIFY row_number() OVER (PARTITION BY artistId ORDER BY priority, artistCompoundId) = 1""",
+    "final_artist": """
+        SELECT artistId, CASE WHEN list_contains(passed, here) THEN list_min(passed[list_position(passed, here):]) ELSE here END AS final
+        FROM (
+            WITH RECURSIVE way AS (
+                SELECT artistId, next AS here, [artistId] AS passed FROM next_artist
+                UNION ALL
+                SELECT w.artistId, n.next, list_append(w.passed, w.here) FROM way w JOIN next_artist n ON n.artistId = w.here
+                WHERE NOT list_contains(w.passed, w.here))
+            SELECT * FROM way QUALIFY row_number() OVER (PARTITION BY artistId ORDER BY len(passed) DESC) = 1)""",
+    "blocked_nested": """
+        SELECT userId, number AS artistId FROM blocked WHERE artifactType = 'ARTIST'
+        UNION
+        SELECT b.userId, c.artistId FROM blocked b JOIN constituents c ON c.artistCompoundId = b.number
+        WHERE b.artifactType = 'ARTIST'""",
+    "run_days": f"SELECT day FROM (VALUES {DAYS}) d(day)",
+    "heard_days": """
+        SELECT userId, CAST(part AS VARCHAR) AS trackGroup, day
+        FROM plays JOIN run_days ON o_orderdate < day
+        GROUP BY userId, part, day
+        HAVING count(*) >= 2 OR max(o_orderdate) >= day - INTERVAL 12 MONTH""",
+    "values_now": measures("len(tracks)", "count"),
+    "values_before": measures(
+        "CASE WHEN user % 5 = 0 THEN least(len(tracks), 40) ELSE len(tracks) END",
+        "(count + CASE WHEN userId % 3 = 0 THEN 2 ELSE 0 END)",
+    ),
+    "shares": """
+        SELECT measure, bin,
+               sum(b) OVER w AS bb, sum(a) OVER w AS ab, sum(b) OVER (PARTITION BY measure) AS tb,
+               sum(a) OVER (PARTITION BY measure) AS ta
+        FROM (SELECT measure, bin, sum(b) AS b, sum(a) AS a
+              FROM (SELECT *, 1 AS b, 0 AS a FROM values_before UNION ALL SELECT *, 0, 1 FROM values_now)
+              GROUP BY measure, bin)
+        WINDOW w AS (PARTITION BY measure ORDER BY bin)""",
+}
+QUERIES |= {
+    "all_constituents": "SELECT artistId, artistCompoundId FROM constituents",
+    "resolve_final_artist": """
+        SELECT userId, trackGroup, pos, coalesce(f.final, CAST(trackGroup AS BIGINT)) AS artistId
+        FROM recs LEFT JOIN final_artist f ON f.artistId = CAST(trackGroup AS BIGINT)""",
+    "filter_blacklisted_artists_of_all_levels": """
+        SELECT userId, trackGroup, pos, CAST(trackGroup AS BIGINT) AS artistId FROM recs c
+        WHERE NOT EXISTS (SELECT 1 FROM blocked_nested x WHERE x.userId = c.userId
+                          AND x.artistId = CAST(c.trackGroup AS BIGINT))""",
+    "heard_on_days": "SELECT userId, trackGroup, day FROM heard_days",
+    "filter_heard_on_days": f"""
+        SELECT userId, trackGroup, pos, d.day FROM recs c
+        CROSS JOIN (VALUES {", ".join(f"(DATE '{d}')" for d in BACKFILL[1::2])}) d(day)
+        WHERE NOT EXISTS (SELECT 1 FROM heard_days x WHERE x.userId = c.userId AND x.trackGroup = c.trackGroup
+                          AND x.day = d.day)""",
+    "filter_key_sets": """
+        SELECT r.userId, r.trackGroup, r.pos FROM recs r JOIN titled m ON m.trackGroup = r.trackGroup
+        WHERE NOT EXISTS (SELECT 1 FROM blocked x WHERE x.artifactType = 'TRACK' AND x.userId = r.userId
+                          AND x.artifactId = r.trackGroup)
+          AND NOT EXISTS (SELECT 1 FROM blocked_artists x WHERE x.userId = r.userId AND x.artistId = m.artistId)
+          AND NOT EXISTS (SELECT 1 FROM observed_tracks x WHERE x.user = r.userId AND x.trackGroup = r.trackGroup)
+          AND NOT EXISTS (SELECT 1 FROM heard x WHERE x.userId = r.userId AND x.trackGroup = r.trackGroup)
+          AND NOT EXISTS (SELECT 1 FROM heard x WHERE x.userId = r.userId AND x.cleanedTitle = m.cleanedTitle)
+          AND NOT EXISTS (SELECT 1 FROM favourite_tracks x WHERE x.userId = r.userId AND x.trackGroup = r.trackGroup)""",
+    "mix_sketch": "SELECT measure, bin, count(*) AS n FROM values_now GROUP BY ALL",
+    "mix_quantiles": """
+        SELECT measure, CAST(p.permille AS INTEGER) AS permille, min(bin) AS value
+        FROM (SELECT *, sum(n) OVER (PARTITION BY measure ORDER BY bin) AS below, sum(n) OVER (PARTITION BY measure) AS total
+              FROM (SELECT measure, bin, count(*) AS n FROM values_now GROUP BY ALL))
+        JOIN (VALUES (10), (250), (500), (750), (990)) p(permille) ON below * 1000 >= p.permille * total
+        GROUP BY ALL""",
+    "mix_drift": """
+        SELECT measure, CAST(max(tb) AS BIGINT) AS rowsBefore, CAST(max(ta) AS BIGINT) AS rowsNow,
+               max(abs(CAST(bb AS DOUBLE) / tb - CAST(ab AS DOUBLE) / ta)) AS distance
+        FROM shares GROUP BY measure""",
+}
+
+
 def statement(name: str) -> str:
     """The query with the steps it needs, each after the steps it names."""
     needed: dict[str, str] = {}
