@@ -21,6 +21,7 @@ from mixloom.operators.rank import top_n
 from mixloom.operators.shape import explode_recommendations
 from mixloom.plans import DiscoverySettings, DiscoveryTables, observed_tracks
 from mixloom.sources.keyed import KeyedTable
+from mixloom.sources.tables import read_vocabulary
 
 # The last order date of the data.
 AS_OF = "2001-08-01"
@@ -357,6 +358,13 @@ class Inputs:
         """Suppliers' names by key, which some of the events' numbers are not."""
         return self.table("supplier").select(F.col("s_name").alias("item"), F.col("s_suppkey").cast("int").alias("index"))
 
+    @cached_property
+    def stored_vocabulary(self) -> DataFrame:
+        """The vocabulary as it is stored with a model."""
+        model = scratch(self.spark, "model")
+        self.vocabulary.write.parquet(f"{model}/vocabulary")
+        return read_vocabulary(self.spark, model)
+
     @cached_property
     def discovery(self) -> DiscoveryTables:
         return DiscoveryTables(

@@ -182,7 +182,7 @@ def last_n_items(i: Inputs) -> DataFrame:
 
 def vocabulary_decode(i: Inputs) -> DataFrame:
     lists = i.sequences.withColumnRenamed("items", "recommendations")
-    return positions(lists.transform(scoring.decode(i.vocabulary)), "user", "recommendations")
+    return positions(lists.transform(scoring.decode(i.stored_vocabulary)), "user", "recommendations")
 
 
 def scored(i: Inputs) -> DataFrame:
