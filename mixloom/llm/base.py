@@ -14,11 +14,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a new temporary one, for tests, only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``; a new temporary one, for tests, only where that is unset on one machine.
+
+    On a cluster an unset folder is an error: executors don't share local storage.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         own = spark.sparkContext.getCheckpointDir()
         if own is None:
+            if spark.sparkContext.master.partition("[")[0] != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             own = tempfile.mkdtemp(prefix="mixloom-")
             spark.sparkContext.setCheckpointDir(own)
         folder = own

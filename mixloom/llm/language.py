@@ -165,7 +165,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
-    """A model of ``doc_id, text, lang``; the filters' size is fixed by ``bits``, so at most as many rows come here."""
+    """A model of ``doc_id, text, lang``. Bits of one position are put together in Spark, so at most ``2**bits`` rows, one for each
+    position and word of 64 languages, come here."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = {row[0]: row[1] for row in labelled.groupBy("lang").count().collect()}
     languages = sorted(rows)
@@ -197,12 +198,20 @@ def learn(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
     word = np.uint8 if len(languages) <= 8 else np.uint64
     wide = 8 * np.dtype(word).itemsize
     table = np.zeros((1 << bits, -(-len(languages) // wide)), word)
-    got = kept.toArrow()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column("lang").to_numpy()
+            masks = (np.uint64(1) << (langs % wide).astype(np.uint64)).view(np.int64)
+            for at in _positions(batch.column("gram").to_numpy().astype(np.uint32), bits, HASHES):
+                columns = [pa.array(at), pa.array((langs // wide).astype(np.int32)), pa.array(masks)]
+                yield pa.RecordBatch.from_arrays(columns, ["at", "word", "mask"])
+
+    placed = kept.mapInArrow(place, "at long, word int, mask long")
+    got = placed.groupBy("at", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
     counted.unpersist()
-    grams = got.column("gram").to_numpy().astype(np.uint32)
-    langs = got.column("lang").to_numpy()
-    for at in _positions(grams, bits, HASHES):
-        np.bitwise_or.at(table, (at, langs // wide), word(1) << (langs % wide).astype(word))
+    masks = got.column("mask").to_numpy().view(np.uint64).astype(word)
+    table[got.column("at").to_numpy(), got.column("word").to_numpy()] = masks
     return Model(languages, table, min(languages, key=lambda lang: (-rows[lang], lang)))
 
 

@@ -9,7 +9,7 @@ of that bound. A query's candidates of all shards are cut to its k best at the e
 
 Vectors that are null or hold null or non-finite components take no part; shorter ones are filled with zeros. A query's own
 row, that is one of the same id, is no candidate. Rows without an id take no part. Repeated candidate rows count
-each; a repeated query id is searched once, with
+each, of equal ones k at most, as no more can be returned; a repeated query id is searched once, with
 the least of its vectors. Fewer than k candidates give all there are.
 """
 
@@ -209,9 +209,12 @@ def top_k(
     vectors: DataFrame, queries: Column, k: int = K, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of ``vec_id, embedding``; ``queries`` says which rows are queries."""
-    good = vectors.where(F.col("vec_id").isNotNull() & usable("embedding")).select(
+    rows = vectors.where(F.col("vec_id").isNotNull() & usable("embedding")).select(
         F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v"), queries.alias("asked")
     )
+    # Of equal rows k at most can be among the k best, so the others go before any shard gets them.
+    single = rows.groupBy("id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_n"), F.bool_or("asked").alias("asked"))
+    good = stored(single.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"), "vectors")
     counted = good.agg(F.count(F.lit(1)), F.count(F.when(F.col("asked"), 1))).first()
     n_shards, n_blocks = max(1, -(-counted[0] // shard_rows)), max(1, -(-counted[1] // block_rows))
 

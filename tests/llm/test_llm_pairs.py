@@ -190,3 +190,18 @@ def test_search_of_little(frame):
     found = sorted(tuple(r) for r in nearest.top_k(df, F.col("vec_id") % 50 == 0).collect())
     assert found == [(0, 1, 50, 131072), (50, 1, 0, 131072)]
     assert nearest.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_search_with_a_row_repeated_many_times(spark):
+    n = 3000
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 10)
+    df = spark.range(0, n, 1, 4).select(hot.alias("vec_id")).withColumn(
+        "embedding", F.array(*[(F.pmod(F.xxhash64("vec_id", F.lit(d)), F.lit(1000)) / 500 - 1).cast("float") for d in range(4)])
+    )
+    found = nearest.top_k(df, F.col("vec_id") % 500 == 0, 5, 256, 2)
+    rows = {}
+    vectors = [(r.vec_id, [int(np.floor(256 * x)) for x in r.embedding]) for r in df.collect()]
+    for q, v in {i: v for i, v in vectors if i % 500 == 0}.items():
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q)[:5]
+        rows |= {(q, rank): (i, -s) for rank, (s, i) in enumerate(scores, 1)}
+    assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()} == rows

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -195,7 +196,6 @@ def test_language(spark, frame):
 
 
 def test_language_filters_return_all_languages_of_an_ngram():
-    import numpy as np
 
     table = np.zeros((1 << 12, 2), np.uint64)
     model = language.Model([f"l{n:02}" for n in range(70)], table, "l00")
@@ -223,3 +223,14 @@ def test_slices_of_batches_keep_all_rows_in_order():
     slices = list(in_slices(iter(batches), 1, most=10))
     assert [r for s in slices for r in s.to_pylist()] == [r for b in batches for r in b.to_pylist()]
     assert [s.num_rows for s in slices] == [4, 2, 1, 1]
+
+
+def test_filters_hold_what_few_rows_taught(frame):
+    """With 70 languages the filters have two words; each n-gram of a language's own text is in its filter."""
+    names = [f"l{n:02}" for n in range(70)]
+    docs = frame("doc_id bigint, text string, lang string", *[(d, f"{chr(97 + n % 26)}{chr(97 + n // 26)}zq " * 9, lang) for n, lang in enumerate(names) for d in (n * 8, n * 8 + 1, n * 8 + 2, n * 8 + 3)])
+    model = language.learn(docs, bits=14)
+    assert model.languages == names and model.table.shape == (1 << 14, 2) and model.table.dtype == np.uint64
+    for n in (0, 1, 63, 64, 69):
+        n_grams, found = language.counts([f"{chr(97 + n % 26)}{chr(97 + n // 26)}zq "], model)
+        assert n_grams[0] > 0 and found[0, n] == n_grams[0]
