@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from mixloom.operators import closure
+from mixloom.operators.joins import lookup
 
 SCHEMA = "artistId bigint, artistCompoundId bigint, priority bigint, mainArtist boolean"
 
@@ -89,3 +91,39 @@ def test_rounds_before_the_last_are_removed(spark, frame):
     before = set(os.listdir(folder))
     closure.all_constituents(frame(SCHEMA, *rows_of("chain")))
     assert len(set(os.listdir(folder)) - before) == 1
+
+
+def test_users_and_compounds_of_a_popular_artist_are_not_multiplied(spark, monkeypatch):
+    """300 users blacklist an artist of 300 compounds; each is recommended three artists at most, so up to 900 pairs are made, not 90,000."""
+    made = []
+
+    def counted(*given, **options):
+        found = lookup(*given, **options)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(closure, "lookup", counted)
+    compounds = spark.range(1, 301).select(
+        F.col("id").alias("artistId"), F.lit(0).cast("bigint").alias("artistCompoundId"), F.lit(0).cast("bigint").alias("priority"), F.lit(True).alias("mainArtist")
+    )
+    users = spark.range(300)
+    blacklist = users.select(F.col("id").cast("string").alias("userId"), F.lit("0").alias("artifactId"), F.lit("ARTIST").alias("artifactType"))
+    df = users.select(F.col("id").alias("userId"), F.explode(F.array(F.col("id") % 300 + 1, F.lit(7).cast("bigint"), F.lit(1000).cast("bigint"))).alias("artistId"))
+    out = df.transform(closure.filter_blacklisted_artists_of_all_levels(blacklist, compounds))
+    assert [tuple(r) for r in out.groupBy("artistId").count().collect()] == [(1000, 300)]
+    assert max(made) <= 900
+
+
+def test_only_the_last_rounds_pairs_are_lengthened(frame, monkeypatch):
+    heads = []
+
+    def counted(dataset, side, *rest, **options):
+        heads.append(dataset.count())
+        return lookup(dataset, side, *rest, **options)
+
+    monkeypatch.setattr(closure, "lookup", counted)
+    n = 33
+    chain = frame(SCHEMA, *[(i + 1, i, 0, True) for i in range(1, n)])
+    assert closure.all_constituents(chain).count() == n * (n - 1) // 2
+    # Pairs 1, 2, 3 to 4, 5 to 8, ... steps apart; 33 artists are 32 steps long.
+    assert heads == [sum(n - d for d in steps) for steps in (range(1, 2), range(2, 3), range(3, 5), range(5, 9), range(9, 17), range(17, 33))]

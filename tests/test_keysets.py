@@ -48,6 +48,8 @@ def test_titles_and_artists_become_tracks(frame, rows):
     tracks = frame("trackGroup string, title string", ("a", "x"), ("b", "x"), ("c", "y"), ("d", None))
     keys = frame("userId bigint, title string", (1, "x"), (1, "x"), (2, "y"), (2, None), (3, "none"))
     assert rows(keysets.tracks_with(keys, tracks, "title")) == [(1, "a"), (1, "b"), (2, "c")]
+    listed = frame("userId bigint, trackGroup string, pos int", (1, "b", 0), (1, "b", 1), (1, "c", 2), (2, "c", 0), (2, "d", 1), (4, "a", 0), (None, "a", 0))
+    assert set(rows(keysets.tracks_with(keys, tracks, "title", listed))) == {(1, "b"), (2, "c")}
 
 
 def test_candidates_are_not_shuffled(spark, frame):

@@ -14,6 +14,7 @@ from mixloom.operators.scoring import decode
 from mixloom.plans import DiscoveryTables, discovery_mix, observed_tracks, score_sequences
 from mixloom.sources.sinks import save_bucketed
 from workload.inputs import AS_OF, SETTINGS, Inputs
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -185,3 +186,22 @@ def test_lists_of_usual_mixes_are_not_shuffled_again(spark, no_broadcast, frame)
 def test_lookup_of_rows_with_maps(frame, rows):
     df = frame("k bigint, m map<string,int>, a array<map<string,int>>", (1, {"x": 1}, []), (2, None, None))
     assert rows(lookup(df, frame("k bigint, w string", (1, "one")), "k").select("k", "w")) == [(1, "one")]
+
+
+@pytest.mark.parametrize("query", ["recs_with_country", "available_in_country", "recs_with_metadata", "filter_heard_albums", "mix_sketch"])
+def test_lists_and_the_catalogue_are_not_broadcast(spark, query):
+    """Estimates count compressed files and one element per list; what is broadcast here are nations and users."""
+    plan = plan_of(QUERIES[query](Inputs(spark, SF)))
+    built = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in built if re.search("trackGroup|bucket|userId.*BuildLeft", line)]
+
+
+def test_repeats_of_a_side_count_in_its_size(spark, frame):
+    side = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().children().last().stats().sizeInBytes()
+    df = frame("k bigint, w string", (1, "one"))
+    assert size(lookup(df, side, "k", "left", salts=8)) >= 8 * 16_000
+    assert "SortMergeJoin" in plan_of(lookup(df, side, "k", large=True)) and "SortMergeJoin" in plan_of(
+        lookup(df.select("k"), side, "k", large=True)
+    )
+    assert "BroadcastHashJoin" in plan_of(lookup(df, side, "k"))
