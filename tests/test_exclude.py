@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 
 from mixloom.operators import exclude
+from mixloom.operators.joins import without, without_at
 
 DATA = "userId bigint, trackGroup string, cleanedTitle string, artistId bigint, videoId bigint, masterBundleId string"
 AS_OF = "2021-06-15 12:00:00"
@@ -131,3 +132,14 @@ def test_merged_key_sets_equal_one_after_the_other(data, frame, rows):
     merged = data.transform(exclude.filter_known_keys(one, two))
     chained = data.transform(exclude.filter_known_keys(one)).transform(exclude.filter_known_keys(two))
     assert left(rows, merged) == left(rows, chained) == [(1, "c"), (2, "111"), (2, "a")]
+
+
+def test_without_at_gives_the_rows_of_without(spark, frame, rows):
+    schema = "userId bigint, trackGroup string, pos int"
+    df = frame(schema, (1, "a", 0), (1, "a", 0), (1, "b", 1), (1, None, 2), (2, "a", 0), (None, "a", 3), (None, None, 4))
+    keys = frame("userId bigint, trackGroup string, dt string", (1, "a", "x"), (1, "a", "y"), (1, None, "x"), (None, "a", "x"), (3, "b", "x"))
+    on = ("userId", "trackGroup")
+    found = without_at(df, keys, on, "userId")
+    assert found.columns == df.columns
+    assert rows(found) == rows(without(df, keys, on)) == rows(frame(schema, (1, "b", 1), (1, None, 2), (2, "a", 0), (None, "a", 3), (None, None, 4)))
+    assert rows(without_at(df, keys.where("userId = 9"), on, "userId")) == rows(df)

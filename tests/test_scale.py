@@ -205,3 +205,12 @@ def test_repeats_of_a_side_count_in_its_size(spark, frame):
         lookup(df.select("k"), side, "k", large=True)
     )
     assert "BroadcastHashJoin" in plan_of(lookup(df, side, "k"))
+
+
+@pytest.mark.parametrize("query", ["daily_mix", "current_mixes"])
+def test_candidates_of_stored_mixes_move_to_the_catalogue_and_back_to_their_user(spark, no_broadcast, query):
+    plan = plan_of(QUERIES[query](Inputs(spark, SF)))
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    # Twice by track: candidates and catalogue. The one by user and track is that of the plays, before they are counted.
+    assert keys.count("trackGroup, _salt") == 2 and keys.count("userId, artistId") == 0
+    assert keys.count("userId") == 1 and sum(k.startswith("userId, ") for k in keys) == 1
