@@ -34,8 +34,11 @@ def track_group_metadata(tracks: DataFrame) -> DataFrame:
 
 
 def with_track_metadata(tracks: DataFrame) -> Operator:
-    """Add ``artistId`` and ``title``; unknown track groups drop."""
-    return lambda df: lookup(df, track_group_metadata(tracks), "trackGroup", large=True)
+    """Add ``artistId`` and ``title``; unknown track groups drop.
+
+    The catalogue is hashed, so candidates are not sorted by track.
+    """
+    return lambda df: lookup(df, track_group_metadata(tracks), "trackGroup", hashed=True)
 
 
 def available_in_country(track_groups: DataFrame) -> Operator:

@@ -2,7 +2,8 @@
 
 Joins carry no hint but one: Spark broadcasts a side only when its own size estimate, or under AQE the measured
 size, is below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is a shuffle. That estimate is the
-size of compressed files and counts one element per list, so sides that grow with the catalogue or hold lists are merged.
+size of compressed files and counts one element per list, so sides that grow with the catalogue or hold lists are merged, or
+hashed after the shuffle where their rows are short.
 """
 
 from collections.abc import Sequence
@@ -13,10 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 4
+# Rows that a task sorts in some 300 MB, as candidates are.
+ROWS_PER_TASK = 2_000_000
 _SALT = "_salt"
 
 
-def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", salts: int = SALTS, large: bool = False) -> DataFrame:
+def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", salts: int = SALTS, large: bool = False, hashed: bool = False) -> DataFrame:
     """Attach the columns of ``side``, which has one row per ``key``, to a much larger dataset.
 
     Such keys are skewed: one track, artist or user may hold a third of the dataset. Rows of a key are
@@ -25,19 +28,32 @@ def lookup(dataset: DataFrame, side: DataFrame, key: str, how: str = "inner", sa
     side a shuffle of its own even when ``side`` is already grouped by ``key``, and AQE's skew join,
     which cuts a large group further, needs exactly that. A ``large`` side, which grows with
     the catalogue or has long lists in its rows, is never broadcast, however small Spark takes it to be.
+    A ``hashed`` one is not either: each task holds its part of the side, which needs short rows, and
+    the dataset is not sorted, which takes its tasks' memory and is spilled where a task has many rows.
     """
     rest = [c for c, kind in dataset.dtypes if c.lower() != key.lower() and "map<" not in kind]
+    strategy = "shuffle_hash" if hashed else "merge" if large else None
     if salts <= 1 or not rest:
-        return dataset.join(side.hint("merge") if large else side, key, how)
+        return dataset.join(side.hint(strategy) if strategy else side, key, how)
     dealt = dataset.withColumn(_SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
     # Unpivoted, the repeats count in Spark's estimate of the side's size; exploded, they would not.
     copies = {f"{_SALT}{i}": F.lit(i) for i in range(salts)}
     repeated = side.withColumns(copies).unpivot(side.columns, list(copies), "_copy", _SALT).drop("_copy")
-    if large:
-        repeated = repeated.hint("merge")
+    if strategy:
+        repeated = repeated.hint(strategy)
     return dealt.join(repeated, [key, _SALT], how).drop(_SALT)
 
 
+def in_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``keys`` to as many tasks as it takes for each to sort ``ROWS_PER_TASK``.
+
+    A join or window over ``keys`` then needs no shuffle of its own. Where the session's partitions are enough, ``df`` stays as it
+    is: Spark's own shuffle does the same, and AQE may merge its partitions.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    return df if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+
+
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The key set of a side table.
 
@@ -46,9 +62,13 @@ def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.select(*on).dropDuplicates()
 
 
-def without(dataset: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``keys``. A null key is in no set, so such rows stay."""
-    return dataset.join(distinct_keys(keys, on), list(on), "left_anti")
+def without(dataset: DataFrame, keys: DataFrame, on: Sequence[str], few: bool = False) -> DataFrame:
+    """Rows whose key is not in ``keys``. A null key is in no set, so such rows stay.
+
+    ``few`` keys, next to the dataset, are hashed by task, so that the dataset is not sorted.
+    """
+    side = distinct_keys(keys, on)
+    return dataset.join(side.hint("shuffle_hash") if few else side, list(on), "left_anti")
 
 
 def without_at(dataset: DataFrame, keys: DataFrame, on: Sequence[str], owner: str) -> DataFrame:

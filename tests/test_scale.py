@@ -214,3 +214,24 @@ def test_candidates_of_stored_mixes_move_to_the_catalogue_and_back_to_their_user
     # Twice by track: candidates and catalogue. The one by user and track is that of the plays, before they are counted.
     assert keys.count("trackGroup, _salt") == 2 and keys.count("userId, artistId") == 0
     assert keys.count("userId") == 1 and sum(k.startswith("userId, ") for k in keys) == 1
+
+
+def test_candidates_are_not_sorted_by_track(spark, no_broadcast, frame, rows):
+    """The catalogue is hashed after the shuffle: what a task holds does not grow with the candidates."""
+    tracks = frame(
+        "trackGroup string, id bigint, title string, mainArtistsIds array<bigint>",
+        ("a", 2, "later", [8]), ("a", 1, "first", [7, 8]), ("b", 3, "bare", []), (None, 4, "none", [9]),
+    )
+    df = frame("userId bigint, trackGroup string, pos int", (1, "a", 0), (1, "a", 0), (2, "b", 1), (3, "z", 2), (4, None, 3))
+    joined = df.transform(enrich.with_track_metadata(tracks))
+    plan = plan_of(joined)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    found = [(1, "a", 0, 7, "first"), (1, "a", 0, 7, "first"), (2, "b", 1, None, "bare")]
+    assert rows(joined, "userId", "trackGroup", "pos", "artistId", "title") == found
+
+
+def test_hot_track_is_split_with_a_hashed_side(spark, no_broadcast):
+    side = spark.range(0, 2000).groupBy((F.col("id") % 400).alias("artistId")).agg(F.max("id").alias("top"))
+    joined = lookup(hot_rows(spark), side, "artistId", salts=2, hashed=True)
+    assert len(joined.collect()) == hot_rows(spark).where("artistId < 400").count()
+    assert "ShuffledHashJoin(skew=true)" in plan_of(joined) or re.search(r"ShuffledHashJoin.*skew=true", plan_of(joined))
