@@ -53,14 +53,15 @@ def filter_heard(
     months: int = 12,
     date_col: str = "lastStreamedDate",
     enabled: bool = True,
+    few: bool = False,
 ) -> Operator:
-    """Remove what was heard. Without a history, or disabled, nothing is removed."""
+    """Remove what was heard. Without a history, or disabled, nothing is removed. ``few`` is that of ``joins.without``."""
 
     def apply(df: DataFrame) -> DataFrame:
         if history is None or not enabled:
             return df
         keys = heard_keys(history, on, as_of=as_of, min_plays=min_plays, months=months, date_col=date_col)
-        return without(df, keys, on)
+        return without(df, keys, on, few)
 
     return apply
 

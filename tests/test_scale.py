@@ -235,3 +235,13 @@ def test_hot_track_is_split_with_a_hashed_side(spark, no_broadcast):
     joined = lookup(hot_rows(spark), side, "artistId", salts=2, hashed=True)
     assert len(joined.collect()) == hot_rows(spark).where("artistId < 400").count()
     assert "ShuffledHashJoin(skew=true)" in plan_of(joined) or re.search(r"ShuffledHashJoin.*skew=true", plan_of(joined))
+
+
+def test_candidates_are_not_sorted_for_few_keys(spark, no_broadcast, frame, rows):
+    df = frame("userId bigint, trackGroup string", (1, "a"), (1, "b"), (1, "b"), (2, "a"), (None, "a"), (1, None))
+    saved = frame("userId bigint, trackGroup string", (1, "a"), (1, "a"), (None, "a"), (1, None))
+    left = df.transform(exclude.filter_heard(saved, min_plays=0, months=0, few=True))
+    assert "ShuffledHashJoin" in plan_of(left) and "SortMergeJoin" not in plan_of(left)
+    assert rows(left) == [(None, "a"), (1, None), (1, "b"), (1, "b"), (2, "a")]
+    plan = plan_of(QUERIES["filter_favourite_tracks"](Inputs(spark, SF)))
+    assert re.search(r"ShuffledHashJoin \[userId#\d+L?, trackGroup#\d+\].*LeftAnti", plan)
