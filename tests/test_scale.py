@@ -8,8 +8,8 @@ from dataclasses import fields
 import pytest
 from pyspark.sql import functions as F
 
-from mixloom.operators import enrich, exclude, rank, shape
-from mixloom.operators.joins import lookup
+from mixloom.operators import enrich, exclude, joins, rank, shape
+from mixloom.operators.joins import in_tasks, lookup
 from mixloom.operators.scoring import decode
 from mixloom.plans import DiscoveryTables, discovery_mix, observed_tracks, score_sequences
 from mixloom.sources.sinks import save_bucketed
@@ -245,3 +245,21 @@ def test_candidates_are_not_sorted_for_few_keys(spark, no_broadcast, frame, rows
     assert rows(left) == [(None, "a"), (1, None), (1, "b"), (1, "b"), (2, "a")]
     plan = plan_of(QUERIES["filter_favourite_tracks"](Inputs(spark, SF)))
     assert re.search(r"ShuffledHashJoin \[userId#\d+L?, trackGroup#\d+\].*LeftAnti", plan)
+
+
+def test_tasks_of_many_rows_are_cut(spark, monkeypatch):
+    df = spark.range(100).select((F.col("id") % 9).alias("userId"), "id")
+    assert "Exchange" not in plan_of(in_tasks(df, 100, "userId"))
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 10)
+    cut = in_tasks(df, 100, "userId")
+    assert re.search(r"Exchange hashpartitioning\(userId#\d+L?, 10\), REPARTITION_BY_NUM", plan_of(cut))
+    assert cut.agg(F.sum("id")).first()[0] == 4950
+
+
+def test_best_of_an_artist_are_chosen_before_known_artists_are_met(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 1_000)
+    plan = plan_of(QUERIES["top_track_per_artist"](Inputs(spark, SF)))
+    sides = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)]
+    # The candidates and the known artists, in tasks for the number of candidates.
+    assert sides.count("userId, artistId, 30") == 2
+    assert plan.index("LeftOuter") < plan.index("WindowGroupLimit")

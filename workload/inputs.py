@@ -206,6 +206,11 @@ class Inputs:
         # Through a row of its own, or a filter on the list's size would be pushed into the join and order it twice.
         return dealt.select("user", F.explode(F.array(lists)).alias("recommendations"))
 
+    @cached_property
+    def n_candidates(self) -> int:
+        """About how many candidates the lists hold, for the number of tasks."""
+        return self.table("customer").count() * LIST_SIZE
+
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with the user, as plays."""
