@@ -1,15 +1,18 @@
 """Incremental runs against full ones."""
 
 import random
+import re
 from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from mixloom.plans import DiscoverySettings, DiscoveryTables, changed_users, discovery_mix, rerank
+from mixloom.plans import DiscoverySettings, DiscoveryTables, changed_users, discovery_mix, observed_tracks, rerank
+from mixloom.plans.discovery import unheard_by_user, unheard_candidates
 from mixloom.plans.incremental import changed_keys, of_users
 from mixloom.sources.tables import SCHEMAS
+from workload.inputs import Inputs
 
 SETTINGS = DiscoverySettings(mix_size=6, min_mix_size=1)
 THEN, NOW = "2022-04-04", "2022-04-11"
@@ -84,6 +87,67 @@ def test_incremental_run_equals_a_full_one(frame, seed, altered):
         assert changed.count() < 24
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_dealt_by_user_gives_the_same_rows(frame, rows, seed):
+    """With repeated rows and nulls in every key."""
+    rng = random.Random(seed)
+    drawn = {t: r + r[:3] if "history" in t or t in ("blacklist", "observed_tracks", "favourite_tracks") else r for t, r in make(rng).items()}
+    drawn["recommendations"] += [(None, ["1", "2"]), (1, ["3", None, "3", "4"])]
+    drawn["users"] += [(None, "NO")]
+    drawn["tracks"] += [(1, "29", None, []), (2, None, "Song 1", [1])]
+    drawn["track_history"] += [(None, "1", "song 2", 3, None), (3, None, None, 3, None), (4, "9", "elsewhere", 3, None)]
+    drawn["favourite_tracks"] += [(None, "2"), (3, None)]
+    drawn["artist_history"] += [(None, 1, 9, None), (5, None, 9, None)]
+    drawn["blacklist"] += [(None, "TRACK", "3"), ("6", "TRACK", None), (None, "ARTIST", "3")]
+    tables = DiscoveryTables(**{t: frame(SCHEMAS[t], *drawn[t]) for t in TABLES})
+    by_user = replace(SETTINGS, candidates_by_user=400)
+    found = rows(unheard_by_user(tables, NOW, by_user))
+    assert found == rows(unheard_candidates(tables, NOW, SETTINGS)) and found
+    assert mixes(discovery_mix(tables, NOW, by_user)) == mixes(discovery_mix(tables, NOW, SETTINGS))
+
+
+def test_candidates_dealt_by_user_move_twice(spark, tables_of_one):
+    """To the catalogue and to their user, with all keys, and without their titles."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = unheard_by_user(tables_of_one, NOW, replace(SETTINGS, candidates_by_user=400))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    assert keys[0] == "userId" and not [k for k in keys if k.startswith("userId, ")]
+    assert keys.count("trackGroup, _salt") == 2
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "titleId" in above and "cleanedTitle" not in above
+
+
+def test_candidates_are_not_shuffled_to_few_changed_tracks(spark, frame, tables_of_one):
+    before = replace(tables_of_one, track_groups=tables_of_one.track_groups.where("trackGroup <> '3'"))
+    changed = changed_users(before, tables_of_one, THEN, THEN, SETTINGS)
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    met = plan[: plan.index("Generate posexplode")]
+    assert "BroadcastHashJoin" in met and "hashpartitioning(trackGroup" not in plan
+    listed = tables_of_one.recommendations.where(F.array_contains("recommendations", "3"))
+    assert {r.userId for r in changed.collect()} == {r.user for r in listed.collect()}
+
+
+def test_only_opened_mixes_are_made(spark, rows):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    whole = observed_tracks(i.mixes, i.observed_mixes).select(F.col("user").cast("bigint").alias("userId"), "trackGroup")
+    assert rows(i.observed_tracks) == rows(whole)
+    plan = i.observed_tracks._jdf.queryExecution().optimizedPlan().toString()
+    # Opened mixes meet their users before lists are made.
+    assert plan.index("Generate posexplode(recommendations") < plan.index("Join LeftSemi")
+
+
+def test_plays_of_stored_tables_are_joined_once(spark, rows):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    for name in ("track_history", "artist_history", "blacklist", "favourite_tracks", "favourite_artists"):
+        stored = getattr(i.stored_discovery, name)
+        assert rows(stored) == rows(getattr(i.discovery, name))
+
+
 def test_changed_keys_count_repeats(frame):
     before = frame("k bigint, v string", (1, "a"), (1, "a"), (2, "b"), (3, "c"), (4, None), (None, "n"))
     after = frame("k bigint, v string", (2, "b"), (3, "c"), (3, "c"), (4, None), (5, "e"), (None, "n"))
