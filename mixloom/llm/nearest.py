@@ -201,7 +201,7 @@ def _bounds(blocks: DataFrame, found: DataFrame, k: int) -> DataFrame:
             columns = [*(batch.column(c) for c in ("block", "query_ids", "queries")), pa.array(bounds, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["block", "query_ids", "queries", "bounds"])
 
-    joined = blocks.join(lists, "block", "left").select("block", "query_ids", "queries", "_kth")
+    joined = blocks.hint("merge").join(lists, "block", "left").select("block", "query_ids", "queries", "_kth")
     return joined.mapInArrow(run, "block long, query_ids binary, queries binary, bounds binary")
 
 
@@ -226,11 +226,12 @@ def top_k(
     blocks = stored(_packed(asked.select(group(n_blocks), "id", "v"), "_group", ("block", "query_ids", "queries")), "blocks")
     first = F.pmod(F.col("block"), F.lit(n_shards)).alias("shard")
     start = blocks.select("*", first, F.lit(None).cast("binary").alias("bounds"))
-    found = stored(_searched(shards.join(start, "shard"), k), "found")
+    # Rows are packed vectors, and blocks come once per shard, which no estimate counts: neither side passes the driver.
+    found = stored(_searched(shards.join(start.hint("merge"), "shard"), k), "found")
     if n_shards > 1:
         others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long")), lambda s: s != first)
         rest = _bounds(blocks, found, k).withColumn("shard", F.explode(others))
-        found = found.unionByName(_searched(shards.join(rest, "shard").sortWithinPartitions("shard"), k))
+        found = found.unionByName(_searched(shards.join(rest.hint("merge"), "shard").sortWithinPartitions("shard"), k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

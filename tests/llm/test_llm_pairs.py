@@ -205,3 +205,10 @@ def test_search_with_a_row_repeated_many_times(spark):
         scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q)[:5]
         rows |= {(q, rank): (i, -s) for rank, (s, i) in enumerate(scores, 1)}
     assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()} == rows
+
+
+def test_packed_vectors_are_not_broadcast(spark, capsys):
+    df = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.rand(1), F.rand(2)).alias("embedding"))
+    nearest.top_k(df, F.col("vec_id") % 50 == 0, 5, 100, 4).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin [shard" in plan and "BroadcastHashJoin" not in plan
