@@ -181,7 +181,8 @@ def _searched(shards: DataFrame, blocks: DataFrame, n_shards: int, k: int, same_
     names = ("ids", "labels", "width", "vectors")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard")
     asked = blocks.select(every, *[F.col(c).alias(f"_{c}") for c in names], "windows")
-    pairs = shards.join(asked, "shard").select(*names, *[f"_{c}" for c in names], "windows")
+    # Rows are packed vectors, and blocks come once per shard, which no estimate counts: neither side passes the driver.
+    pairs = shards.join(asked.hint("merge"), "shard").select(*names, *[f"_{c}" for c in names], "windows")
     return pairs.mapInArrow(run, schema)
 
 
@@ -232,7 +233,7 @@ def hard_negatives(
     )
     block = F.pmod(F.xxhash64("anchor_id"), F.lit(n_blocks)).alias("block")
     admitted = chosen.where("score >= 0").groupBy(block).agg(F.collect_list(asked).cast(window).alias("windows"))
-    far = _searched(shards, blocks.join(admitted, "block"), n_shards, negatives, False)
+    far = _searched(shards, blocks.join(admitted.hint("merge"), "block"), n_shards, negatives, False)
     ranked = _best(far, ["anchor_id", "window"], negatives).withColumnsRenamed({"vec_id": "negative_id", "score": "negative_score"})
     named = chosen.withColumnsRenamed({"vec_id": "positive_id", "score": "positive_score", "rank": "window"})
     return ranked.join(named, ["anchor_id", "window"]).select(

@@ -87,3 +87,12 @@ def test_repeated_rows_are_dealt_to_all_shards(spark):
     for r in negatives._packed(rows.select(number.alias("_group"), "*"), "shard").collect():
         sizes[r.shard] = len(r.ids) // 8
     assert len(sizes) == 10 and max(sizes.values()) < 400
+
+
+def test_packed_vectors_are_not_broadcast(spark, capsys):
+    columns = (F.col("id") % 3).alias("label"), F.array(F.rand(1), F.rand(2)).alias("embedding")
+    df = spark.range(600).select(F.col("id").alias("vec_id"), *columns)
+    negatives.hard_negatives(df, F.col("vec_id") % 50 == 0, shard_rows=100, block_rows=4).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin [shard" in plan and "SortMergeJoin [block" in plan
+    assert "BroadcastHashJoin [shard" not in plan and "BroadcastHashJoin [block" not in plan
