@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from mixloom.operators import exclude
-from mixloom.operators.joins import without, without_at
+from mixloom.operators.joins import without, without_at, without_each
 
 DATA = "userId bigint, trackGroup string, cleanedTitle string, artistId bigint, videoId bigint, masterBundleId string"
 AS_OF = "2021-06-15 12:00:00"
@@ -143,3 +143,13 @@ def test_without_at_gives_the_rows_of_without(spark, frame, rows):
     assert found.columns == df.columns
     assert rows(found) == rows(without(df, keys, on)) == rows(frame(schema, (1, "b", 1), (1, None, 2), (2, "a", 0), (None, "a", 3), (None, None, 4)))
     assert rows(without_at(df, keys.where("userId = 9"), on, "userId")) == rows(df)
+
+
+def test_keys_of_all_kinds_by_owner(frame, rows):
+    df = frame("userId int, trackGroup string, artistId bigint", (1, "5", 7), (1, None, 7), (None, "5", 8), (1, "6", 8), (2, "5", 8), (2, "5", 8), (2, "8", None))
+    tracks = frame("userId bigint, trackGroup int", (1, 6), (None, 5), (2, None), (2**40, 5), (1, 6))
+    artists = frame("userId int, artistId bigint", (1, 7), (2, None), (3, 8))
+    sets = [(tracks, ("userId", "trackGroup")), (artists, ("userId", "artistId"))]
+    found = without_each(df, sets, "userId", 10)
+    assert found.schema.simpleString() == "struct<userId:int,artistId:bigint,trackGroup:string>"
+    assert rows(found) == rows(df.where("userId IS NULL OR userId = 2").select(*found.columns))
