@@ -262,3 +262,51 @@ def test_best_of_an_artist_are_chosen_in_tasks_by_the_number_of_candidates(spark
     sides = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)]
     # In tasks for the number of candidates.
     assert "userId, artistId, 30" in sides
+
+
+def moved(df):
+    """Names of the columns of each shuffle of the plan before it is run."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        if node.nodeName() == "Exchange":
+            output = node.output()
+            found.append({output.apply(n).name() for n in range(output.size())})
+        children = node.children()
+        for n in range(children.size()):
+            walk(children.apply(n))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_candidates_of_a_user_get_one_salt(spark, no_broadcast):
+    inputs = Inputs(spark, SF)
+    for joined in (QUERIES["recs_with_metadata"](inputs), discovery_mix(inputs.discovery, AS_OF, SETTINGS)):
+        assert re.search(r"pmod\(xxhash64\(userId#\w+, 42\), 4\)", plan_of(joined, "formatted"))
+
+
+@pytest.mark.parametrize("name, moves", [("filter_blacklist_all", 2), ("filter_heard_albums", 2), ("filter_heard_titles", 2), ("filter_heard_near_titles", 2)])
+def test_candidates_move_to_the_catalogue_and_to_their_user(spark, no_broadcast, name, moves):
+    found = [columns for columns in moved(QUERIES[name](Inputs(spark, SF))) if "pos" in columns]
+    assert len(found) == moves and not any("cleanedTitle" in columns for columns in found)
+
+
+def test_discovery_candidates_are_dealt_by_user_with_short_names_of_titles(spark, no_broadcast):
+    found = [columns for columns in moved(QUERIES["discovery_mix"](Inputs(spark, SF))) if "pos" in columns]
+    assert any("titleId" in columns for columns in found) and not any("cleanedTitle" in columns for columns in found)
+
+
+def test_plays_move_to_stored_mixes_without_titles(spark, no_broadcast):
+    assert "cleanedTitle" not in plan_of(Inputs(spark, SF).mixes, "extended").split("== Optimized")[1]
+    assert not any("o_orderdate" in columns for columns in moved(Inputs(spark, SF).mixes))
+
+
+@pytest.mark.parametrize("name", ["filter_observed_tracks", "observed_tracks"])
+def test_candidates_dealt_by_user_take_as_many_tasks_as_they_need(spark, monkeypatch, name):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 2_000)
+    inputs = Inputs(spark, SF)
+    assert inputs.n_candidates == 30_000
+    assert re.search(r"hashpartitioning\(userId#\w+, 15\), REPARTITION_BY_NUM", plan_of(QUERIES[name](inputs)))
